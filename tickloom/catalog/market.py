@@ -11,7 +11,7 @@ from tickloom.operators import signals as sig
 from tickloom.operators.bars import daily_bars, daily_ohlcv, stock_frames
 from tickloom.operators.decode import decode_ticks
 from tickloom.operators.documents import documents_as_json, ticker_documents
-from tickloom.operators.latest import latest_by_join, latest_per_key
+from tickloom.operators.latest import latest_by_join, latest_per_key, newest_per_key
 from tickloom.operators.profile import max_by_key
 from tickloom.operators.ranges import between_dates, between_times, only_tickers, padded_range
 from tickloom.operators.summary import analysed_bars, summarise_by_ticker
@@ -19,7 +19,7 @@ from tickloom.params import IndicatorParams
 from tickloom.plans.market import market_job
 from tickloom.schemas import DAILY_BAR_COLUMNS
 from tickloom.sinks.files import write_parquet
-from tickloom.workspace import fresh_path
+from tickloom.workspace import fresh_path, settle
 
 PARAMS = IndicatorParams()
 RANGE_START, RANGE_END = "1997-01-01", "1998-12-31"
@@ -81,7 +81,8 @@ def _latest(spark, sf_dir):
 
 def _latest_ticks(spark, sf_dir):
     columns = (*KEY, "l_orderkey", "l_linenumber", "l_partkey", "close")
-    return latest_by_join(ticks(spark, sf_dir).select(*columns))
+    found = ticks(spark, sf_dir).select(*columns)
+    return latest_by_join(found, newest=settle(newest_per_key(found), "newest"))
 
 
 def _last_date(spark, sf_dir):

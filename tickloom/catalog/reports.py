@@ -10,13 +10,14 @@ from tickloom.plans.ridership import land_ridership, read_ridership, report_ride
 from tickloom.sinks.files import land_json
 from tickloom.sources.envelope import accepted_envelopes, envelope_rows, read_envelopes
 from tickloom.sources.paths import daily_paths
-from tickloom.workspace import fresh_path
+from tickloom.workspace import fresh_path, settle
 
 RUN_DATE = "2024-03-08"
 
 
 def _report_lines(spark, sf_dir):
-    return rid.report_lines(rid.usage_by_line_and_station(ridership(spark, sf_dir)))
+    usage = rid.usage_by_line_and_station(ridership(spark, sf_dir))
+    return rid.report_lines(settle(usage, "usage"))
 
 
 def _counters(spark, sf_dir):
@@ -47,9 +48,10 @@ def _api_envelope(spark, sf_dir):
 
 def _accepted_answers(spark, sf_dir):
     answers = read_envelopes(spark, _landed_answers(spark, sf_dir), one_per_file=False)
-    return accepted_envelopes(answers).select(
-        F.col("CardSubwayStatsNew.RESULT.CODE").alias("code"),
-        F.col("CardSubwayStatsNew.list_total_count").alias("items"),
+    return (
+        accepted_envelopes(answers)
+        .groupBy(F.col("CardSubwayStatsNew.RESULT.CODE").alias("code"))
+        .agg(F.sum("CardSubwayStatsNew.list_total_count").alias("items"))
     )
 
 
@@ -157,8 +159,7 @@ ORACLES = {
          ORDER BY total DESC, station_name LIMIT 5)""",
     "api_envelope": f"WITH {_ROWS} {_API_ROWS} WHERE l_linestatus <> 'F'",
     "accepted_answers": """
-        SELECT 'INFO-000' AS code, count(*) AS items FROM lineitem
-        WHERE l_linestatus <> 'F' GROUP BY l_orderkey, l_linestatus""",
+        SELECT 'INFO-000' AS code, count(*) AS items FROM lineitem WHERE l_linestatus <> 'F'""",
     "daily_landing": f"WITH {_ROWS} {_API_ROWS}",
     "ridership_job": """
         SELECT CAST(l_suppkey AS VARCHAR) AS station_name,

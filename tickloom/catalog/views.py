@@ -12,6 +12,9 @@ TICK_ORDER = ("timestamp", "l_orderkey", "l_linenumber", "l_partkey")
 
 TOPIC = "user_events"
 
+# The ridership service answers at most this many items per request.
+ITEMS_PER_REQUEST = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -115,7 +118,7 @@ def ridership_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of the ridership service, one per order and line status.
+    """Answers of the ridership service with up to a thousand items each.
 
     Answers about finished lines report an error, so their rows must not be used.
     """
@@ -126,9 +129,10 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").cast("string").alias("GTON_TNOPE"),
         F.col("l_linenumber").cast("string").alias("GTOFF_TNOPE"),
     )
+    page = F.floor(F.monotonically_increasing_id() / ITEMS_PER_REQUEST)
     answers = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linestatus")
+        .groupBy(page.alias("page"), "l_linestatus")
         .agg(F.collect_list(row).alias("row"))
     )
     result = F.struct(

@@ -21,16 +21,28 @@ def latest_per_key(df: DataFrame, key: str = "ticker", order: str = "date") -> D
     )
 
 
-def latest_by_join(df: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
-    """The same rows for frames where one key and date may hold any number of rows.
-
-    The newest date per key is aggregated first and joined back. That side has one row
-    per key; Spark broadcasts it if small and otherwise splits hot keys of the other.
-    """
-    newest = (
+def newest_per_key(df: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
+    return (
         df.filter(F.col(order).isNotNull())
         .groupBy(F.col(key).alias("_key"))
         .agg(F.max(order).alias("_newest"))
     )
+
+
+def latest_by_join(
+    df: DataFrame,
+    key: str = "ticker",
+    order: str = "date",
+    newest: DataFrame | None = None,
+) -> DataFrame:
+    """The same rows for frames where one key and date may hold any number of rows.
+
+    The newest date per key is joined back to the rows. Pass :func:`newest_per_key`
+    settled as a table: one row per key, which Spark then broadcasts if it is below the
+    threshold, so that the rows are neither shuffled nor sorted; above it, hot keys of
+    the shuffled rows are split.
+    """
+    if newest is None:
+        newest = newest_per_key(df, key, order)
     matches = (F.col(key) == F.col("_key")) & (F.col(order) == F.col("_newest"))
     return df.join(newest, matches).drop("_key", "_newest")

@@ -14,6 +14,7 @@ from tickloom.operators.ridership import (
     usage_by_line_and_station,
 )
 from tickloom.params import IndicatorParams
+from tickloom.workspace import settle
 
 # A report of up to this many entries is written as one document.
 DOCUMENT_ENTRIES = 100_000
@@ -37,14 +38,10 @@ def write_report(
     entries than fit one row comfortably, as JSON lines per section (``sections``)."""
     moment = f"{generated_at or datetime.now():%Y-%m-%d %H:%M:%S}"
     # One pass over the rows; every section and the size check read its small result.
-    usage = usage_by_line_and_station(rows).persist()
-    try:
-        lines = report_lines(usage)
-        if lines.count() <= document_entries:
-            report_document(lines, moment).write.mode("overwrite").text(path)
-            return "document"
-        stamped = lines.withColumn("generated_at", F.lit(moment))
-        stamped.write.mode("overwrite").partitionBy("section").json(path)
-        return "sections"
-    finally:
-        usage.unpersist()
+    lines = report_lines(settle(usage_by_line_and_station(rows), "usage"))
+    if lines.count() <= document_entries:
+        report_document(lines, moment).write.mode("overwrite").text(path)
+        return "document"
+    stamped = lines.withColumn("generated_at", F.lit(moment))
+    stamped.write.mode("overwrite").partitionBy("section").json(path)
+    return "sections"

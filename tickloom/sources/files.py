@@ -44,7 +44,7 @@ def read_json_lines(
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Path and size of each file; the contents are not read."""
+    """Path and size of each file that holds something; the contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -61,12 +61,6 @@ def read_csv_checked(
     spark: SparkSession, path: str, schema: StructType | None = None, glob: str = "*.csv"
 ) -> DataFrame:
     """CSV from an object store, after checking that it arrived and is not empty."""
-    files = file_inventory(spark, path, glob)
-    found, empty, total = files.agg(
-        F.count("*"),
-        F.count_if(F.col("file_size") == 0),
-        F.coalesce(F.sum("file_size"), F.lit(0)),
-    ).first()
-    if found == 0 or total == 0:
-        raise FileNotFoundError(f"{path}: {found} files, {empty} of them empty")
+    if file_inventory(spark, path, glob).isEmpty():
+        raise FileNotFoundError(f"no {glob} with content in {path}")
     return read_csv(spark, path, schema)
