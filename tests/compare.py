@@ -21,7 +21,7 @@ def connect(sf_dir):
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(value + 0.0)
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, (datetime.datetime, datetime.date)):

@@ -28,7 +28,7 @@ KEY = ("ticker", "date")
 
 
 def bars(spark, sf_dir):
-    return daily_bars(ticks(spark, sf_dir), order_by=TICK_ORDER)
+    return daily_bars(ticks(spark, sf_dir), **TICK_ORDER)
 
 
 def _over_bars(*steps, columns):
@@ -44,7 +44,7 @@ def _over_bars(*steps, columns):
 
 
 def _ohlcv(spark, sf_dir):
-    return daily_ohlcv(ticks(spark, sf_dir), order_by=TICK_ORDER)
+    return daily_ohlcv(ticks(spark, sf_dir), **TICK_ORDER)
 
 
 def _event_ohlcv(spark, sf_dir):
@@ -108,7 +108,7 @@ def ticker_summary(spark, sf_dir):
 
 def market_flagship(spark, sf_dir):
     """Ticks to bars, short and long average, latest row and state of each ticker."""
-    averages = daily_bars(ticks(spark, sf_dir), order_by=TICK_ORDER).transform(
+    averages = daily_bars(ticks(spark, sf_dir), **TICK_ORDER).transform(
         ind.moving_averages, (PARAMS.ma_short, PARAMS.ma_long)
     )
     return sig.ma_status(latest_per_key(averages), PARAMS)
@@ -279,24 +279,46 @@ def _lag(column: str) -> str:
     return f"lag({column}) OVER (PARTITION BY ticker ORDER BY date)"
 
 
+def _order_of(first: str, second: str, third: str) -> str:
+    """Bullish if the three fall in that order, bearish if they rise, else neutral."""
+    return (
+        f"CASE sign({first} - {second}) + sign({second} - {third}) "
+        "WHEN 2 THEN 'bullish' WHEN -2 THEN 'bearish' ELSE 'neutral' END"
+    )
+
+
+def _bit(condition: str) -> str:
+    return f"CAST(coalesce({condition}, false) AS INTEGER)"
+
+
+def _crossed(upper: str, lower: str) -> str:
+    """+1 where ``upper`` came to lie above ``lower``, -1 where it came to lie below."""
+    now, before = f"sign({upper} - {lower})", f"sign(prev_{upper} - prev_{lower})"
+    return f"CASE WHEN {now} * {before} <= 0 THEN {now} END"
+
+
+def _first(*flags: tuple[str, str]) -> str:
+    return "coalesce(" + ", ".join(f"if({f} = 1, '{label}', NULL)" for f, label in flags) + ")"
+
+
+_HIGH_10 = "max(high) OVER (PARTITION BY ticker ORDER BY date ROWS 9 PRECEDING)"
+_LOW_10 = "min(low) OVER (PARTITION BY ticker ORDER BY date ROWS 9 PRECEDING)"
+
 # Every column of the analysis, one step per table.
 _ANALYSIS = f"""
 averages AS (
   SELECT *, {", ".join(f"{_mean('close', n)} AS ma_{n}" for n in (5, 10, 20, 50, 200))},
          {_lag("close")} AS prev_close,
          {_mean("close", 12)} AS ema_fast, {_mean("close", 26)} AS ema_slow,
-         max(high) OVER (PARTITION BY ticker ORDER BY date
-                         ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS high_10d,
-         min(low) OVER (PARTITION BY ticker ORDER BY date
-                        ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS low_10d
+         {_HIGH_10} AS high_10d, {_LOW_10} AS low_10d
   FROM bars
 ), changes AS (
   SELECT *, close - prev_close AS price_change, ema_fast - ema_slow AS macd,
          {_lag("ma_5")} AS prev_ma_5, {_lag("ma_20")} AS prev_ma_20
   FROM averages
 ), moves AS (
-  SELECT *, CASE WHEN price_change > 0 THEN price_change ELSE 0.0::DOUBLE END AS gain,
-         CASE WHEN price_change < 0 THEN abs(price_change) ELSE 0.0::DOUBLE END AS loss,
+  SELECT *, greatest(price_change, 0.0::DOUBLE) AS gain,
+         greatest(-price_change, 0.0::DOUBLE) + 0.0 AS loss,
          {_mean("macd", 9)} AS macd_signal, {_lag("macd")} AS prev_macd
   FROM changes
 ), means AS (
@@ -306,37 +328,29 @@ averages AS (
 ), strengths AS (
   SELECT *, avg_gain / nullif(avg_loss, 0) AS rs FROM means
 ), indices AS (
-  SELECT *, 100 - 100 / (1 + rs) AS rsi FROM strengths
+  SELECT *, 100 - 100 / (1 + rs) AS rsi, {_crossed("ma_5", "ma_20")} AS ma_move,
+         {_crossed("macd", "macd_signal")} AS macd_move
+  FROM strengths
 ), flags AS (
-  SELECT *, CASE WHEN ma_5 > ma_20 AND prev_ma_5 <= prev_ma_20 THEN 1 ELSE 0 END AS golden_cross,
-         CASE WHEN ma_5 < ma_20 AND prev_ma_5 >= prev_ma_20 THEN 1 ELSE 0 END AS death_cross,
-         CASE WHEN rsi > 70 THEN 1 ELSE 0 END AS rsi_overbought,
-         CASE WHEN rsi < 30 THEN 1 ELSE 0 END AS rsi_oversold,
-         CASE WHEN macd > macd_signal AND prev_macd <= prev_macd_signal
-              THEN 1 ELSE 0 END AS macd_bullish_cross,
-         CASE WHEN macd < macd_signal AND prev_macd >= prev_macd_signal
-              THEN 1 ELSE 0 END AS macd_bearish_cross,
-         CASE WHEN close > ma_50 AND ma_50 > ma_200 THEN 'bullish'
-              WHEN close < ma_50 AND ma_50 < ma_200 THEN 'bearish' ELSE 'neutral' END AS trend,
-         CASE WHEN close > ma_5 AND ma_5 > ma_20 THEN 'bullish'
-              WHEN close < ma_5 AND ma_5 < ma_20 THEN 'bearish' ELSE 'neutral' END AS ma_status,
-         CASE WHEN rsi IS NULL OR rsi = 0 THEN 'unknown' WHEN rsi > 70 THEN 'overbought'
-              WHEN rsi < 30 THEN 'oversold' ELSE 'neutral' END AS rsi_status,
+  SELECT *, {_bit("ma_move = 1")} AS golden_cross, {_bit("ma_move = -1")} AS death_cross,
+         {_bit("rsi > 70")} AS rsi_overbought, {_bit("rsi < 30")} AS rsi_oversold,
+         {_bit("macd_move = 1")} AS macd_bullish_cross,
+         {_bit("macd_move = -1")} AS macd_bearish_cross,
+         {_order_of("close", "ma_50", "ma_200")} AS trend,
+         {_order_of("close", "ma_5", "ma_20")} AS ma_status,
+         if(coalesce(rsi, 0) = 0, 'unknown',
+            if(rsi > 70, 'overbought', if(rsi < 30, 'oversold', 'neutral'))) AS rsi_status,
          (ma_50 / ma_200 - 1.0) * 100 AS ma_50_200_diff_pct
   FROM indices
 ), analysed AS (
-  SELECT *, CASE WHEN golden_cross = 1 THEN 'golden_cross'
-                 WHEN rsi_oversold = 1 THEN 'rsi_oversold'
-                 WHEN macd_bullish_cross = 1 THEN 'macd_bullish' END AS buy_signal,
-         CASE WHEN death_cross = 1 THEN 'death_cross'
-              WHEN rsi_overbought = 1 THEN 'rsi_overbought'
-              WHEN macd_bearish_cross = 1 THEN 'macd_bearish' END AS sell_signal,
-         CASE WHEN (golden_cross = 1 OR death_cross = 1)
-                   AND (rsi_oversold = 1 OR rsi_overbought = 1) THEN 'strong'
-              WHEN golden_cross = 1 OR death_cross = 1 OR rsi_oversold = 1
-                   OR rsi_overbought = 1 THEN 'medium'
-              WHEN macd_bullish_cross = 1 OR macd_bearish_cross = 1 THEN 'weak'
-         END AS signal_strength
+  SELECT *,
+         {_first(("golden_cross", "golden_cross"), ("rsi_oversold", "rsi_oversold"),
+                 ("macd_bullish_cross", "macd_bullish"))} AS buy_signal,
+         {_first(("death_cross", "death_cross"), ("rsi_overbought", "rsi_overbought"),
+                 ("macd_bearish_cross", "macd_bearish"))} AS sell_signal,
+         CASE (golden_cross | death_cross) + (rsi_oversold | rsi_overbought)
+              WHEN 2 THEN 'strong' WHEN 1 THEN 'medium'
+              ELSE if(macd_move <> 0, 'weak', NULL) END AS signal_strength
   FROM flags
 )"""
 

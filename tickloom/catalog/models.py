@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickloom.catalog.views import LISTING_FIELDS, LISTING_KEYS, listings, table
+from tickloom.catalog.views import LISTING_FIELDS, LISTING_KEYS, listings
 from tickloom.operators import features as ml
 from tickloom.plans.listings import fit_formula, fit_full, fit_line
 
@@ -34,33 +34,23 @@ def _feature_vector(spark, sf_dir):
     return values.select(*LISTING_KEYS, F.col("features")[0].alias("feature"), "price")
 
 
-def _parts(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    return part.select(
-        "p_partkey",
-        F.col("p_size").cast("double").alias("bedrooms"),
-        F.col("p_retailprice").alias("price"),
-    )
-
-
 def _line(spark, sf_dir):
     """Slope and intercept of the fitted line, as the model reports them."""
-    parts = _parts(spark, sf_dir)
-    model = ml.regression().fit(ml.assembler(["bedrooms"]).transform(parts))
+    rows = listings(spark, sf_dir)
+    model = ml.regression().fit(ml.assembler(["bedrooms"]).transform(rows))
     numbers = (round(float(model.coefficients[0]), 2), round(float(model.intercept), 2))
     return spark.createDataFrame([numbers], "slope double, intercept double")
 
 
 def _line_aggregate(spark, sf_dir):
-    line = ml.fitted_line(_parts(spark, sf_dir), "bedrooms", "price")
+    line = ml.fitted_line(listings(spark, sf_dir), "bedrooms", "price")
     return line.select(F.round("slope", 2).alias("slope"), F.round("intercept", 2).alias("intercept"))
 
 
 def _line_predictions(spark, sf_dir):
-    train, test = ml.hash_split(_parts(spark, sf_dir), ["p_partkey"])
-    fitted, _ = fit_line(train, test)
+    fitted, _ = fit_line(*_split(spark, sf_dir))
     return fitted.predictions.select(
-        "p_partkey", "bedrooms", F.round("prediction", 2).alias("prediction")
+        *LISTING_KEYS, "bedrooms", F.round("prediction", 2).alias("prediction")
     )
 
 
@@ -132,9 +122,9 @@ def _index_of(column: str) -> str:
 
 
 _LINE = """
-  SELECT round(regr_slope(p_retailprice, p_size), 2) AS slope,
-         round(regr_intercept(p_retailprice, p_size), 2) AS intercept
-  FROM part"""
+  SELECT round(regr_slope(l_extendedprice, l_quantity), 2) AS slope,
+         round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept
+  FROM lineitem"""
 
 _INDEXED = f"""
 indexed AS (
@@ -153,16 +143,15 @@ ORACLES = {
     "simple_regression": _LINE,
     "simple_regression_aggregate": _LINE,
     "line_predictions": f"""
-        WITH parts AS (
-          SELECT p_partkey, CAST(p_size AS DOUBLE) AS bedrooms, p_retailprice AS price,
-                 {_split_of("p_partkey")} AS split
-          FROM part
+        WITH rows AS (
+          SELECT *, {_split_of("l_orderkey", "l_linenumber", "l_partkey")} AS split FROM lineitem
         ), line AS (
-          SELECT regr_slope(price, bedrooms) AS m, regr_intercept(price, bedrooms) AS b
-          FROM parts WHERE split = 'train'
+          SELECT regr_slope(l_extendedprice, l_quantity) AS m,
+                 regr_intercept(l_extendedprice, l_quantity) AS b
+          FROM rows WHERE split = 'train'
         )
-        SELECT p_partkey, bedrooms, round(m * bedrooms + b, 2) AS prediction
-        FROM parts, line WHERE split = 'test'""",
+        SELECT {_KEYS}, l_quantity AS bedrooms, round(m * l_quantity + b, 2) AS prediction
+        FROM rows, line WHERE split = 'test'""",
     "string_index": f"""WITH {_INDEXED}
         SELECT {_KEYS}, flag AS "neighbourhood_cleansedIndex", state AS "room_typeIndex"
         FROM indexed""",

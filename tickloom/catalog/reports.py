@@ -26,13 +26,9 @@ def _counters(spark, sf_dir):
 
 def _sql_view(spark, sf_dir):
     """The line totals as a user's SQL over a registered view."""
-    rid.with_counters(ridership_text(spark, sf_dir)).createOrReplaceTempView("subway_data")
-    return spark.sql(
-        """
-        SELECT SBWY_ROUT_LN_NM AS line_name, SUM(GTON_TNOPE + GTOFF_TNOPE) AS total_passengers
-        FROM subway_data GROUP BY SBWY_ROUT_LN_NM ORDER BY total_passengers DESC, line_name
-        """
-    )
+    rows = rid.with_counters(ridership_text(spark, sf_dir))
+    rid.usage_by_line_and_station(rows).createOrReplaceTempView("usage")
+    return spark.sql("SELECT line_name, sum(total) AS total_passengers FROM usage GROUP BY 1")
 
 
 def _landed_answers(spark, sf_dir):

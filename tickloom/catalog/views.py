@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions import wide_key
 from tickloom.sinks.kafka import encode_json
 
-# Orders the ticks of a ticker; all ticks of a day share their timestamp here.
-TICK_ORDER = ("timestamp", "l_orderkey", "l_linenumber", "l_partkey")
+# Orders the ticks of a ticker and day.
+TICK_ORDER = {"order_by": ("sequence",), "unique_order": True}
 
 TOPIC = "user_events"
 
@@ -23,7 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales as market ticks: brand is the ticker, prices are in cents.
 
-    Prices in whole cents keep sums of them exact, in whatever order they are added.
+    Prices in whole cents keep sums of them exact, in whatever order they are added. All
+    ticks of a day share their timestamp; ``sequence`` orders them by order, line, part
+    and price, so that ticks with the same sequence have the same price.
     """
     price = F.round(F.col("l_extendedprice") * 100)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -37,6 +40,10 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * (1 - F.col("l_discount"))).alias("low"),
         price.alias("close"),
         F.col("l_quantity").cast("bigint").alias("volume"),
+        wide_key(
+            F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+            F.col("l_partkey") * 100_000_000 + price.cast("bigint"),
+        ).alias("sequence"),
         "l_orderkey",
         "l_linenumber",
         "l_partkey",

@@ -6,6 +6,7 @@ from tickloom.functions.columns import (
     lagged_day,
     percent_above,
     ratio,
+    wide_key,
     zero_if_missing,
 )
 from tickloom.functions.guards import EmptyInputError, require_columns, require_rows
@@ -21,5 +22,6 @@ __all__ = [
     "ratio",
     "require_columns",
     "require_rows",
+    "wide_key",
     "zero_if_missing",
 ]

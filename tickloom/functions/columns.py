@@ -32,6 +32,16 @@ def zero_if_missing(column: Column | str) -> Column:
     return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
 
 
+def wide_key(first: Column | str, second: Column | str) -> Column:
+    """Two non-negative bigints as one number, ordered by the first, then the second.
+
+    Unlike a struct the number is of fixed width, so an aggregation that compares it can
+    hash its input instead of sorting it.
+    """
+    wide, digits = "decimal(19,0)", F.lit("1" + "0" * 19).cast("decimal(20,0)")
+    return (_col(first).cast(wide) * digits + _col(second).cast(wide)).cast("decimal(38,0)")
+
+
 def day_text(column: Column | str) -> Column:
     return F.date_format(_col(column), "yyyy-MM-dd")
 
