@@ -192,6 +192,10 @@ def test_market_job_formats(spark, stored_ticks, tmp_path):
         sinks.save(summary, str(tmp_path / "x"), "xml")
 
 
+def test_default_output():
+    assert sinks.default_output(day(5)) == "stock_analysis_results_20240105"
+
+
 def test_market_job_without_ticks(spark, stored_ticks, tmp_path):
     for options in ({"tickers": "Z"}, {"start": "2030-01-01", "end": "2030-01-02"}):
         arguments = {"start": "2024-01-05", "end": "2024-01-09", **options}

@@ -119,10 +119,10 @@ def _event_summary(spark, sf_dir):
     return _rounded_summary(summarise_by_ticker(analysed_bars(daily, PARAMS), PARAMS))
 
 
-def _market_job(spark, sf_dir):
+def _market_job(spark, sf_dir, save_raw=False):
     """The whole job over stored ticks of some tickers in a date range."""
     source, output = fresh_path(spark, "ticks"), fresh_path(spark, "summary")
-    write_parquet(ticks(spark, sf_dir), source)
+    write_parquet(ticks(spark, sf_dir).drop("sequence"), source)
     market_job(
         spark,
         "file",
@@ -131,10 +131,20 @@ def _market_job(spark, sf_dir):
         RANGE_END,
         tickers=TICKERS,
         fmt="parquet",
+        save_raw=save_raw,
         params=PARAMS,
         location=source,
     )
-    return spark.read.parquet(output).select(*DAILY_BAR_COLUMNS)
+    return output
+
+
+def _job_summary(spark, sf_dir):
+    return spark.read.parquet(_market_job(spark, sf_dir)).select(*DAILY_BAR_COLUMNS)
+
+
+def _job_raw_ticks(spark, sf_dir):
+    raw = spark.read.parquet(f"{_market_job(spark, sf_dir, save_raw=True)}_raw")
+    return raw.select(*KEY, "l_orderkey", "l_linenumber", "l_partkey", "volume")
 
 
 DOCUMENT = """
@@ -233,7 +243,8 @@ QUERIES = {
     "ticker_summary": ticker_summary,
     "event_ticker_summary": _event_summary,
     "ticker_document": _documents,
-    "market_job": _market_job,
+    "market_job": _job_summary,
+    "market_job_raw": _job_raw_ticks,
 }
 
 # ---------------------------------------------------------------------------- SQL
@@ -440,6 +451,10 @@ ORACLES = {
                signal_type, signal_direction, signals.signal_strength, signal_description
         FROM found LEFT JOIN signals ON found.ticker = signals.ticker"""
     ),
+    "market_job_raw": f"""WITH {_TICKS}
+        SELECT ticker, date, l_orderkey, l_linenumber, l_partkey, volume FROM ticks
+        WHERE date BETWEEN DATE '1996-12-29' AND DATE '1999-01-01'
+          AND ticker IN ('Brand#1', 'Brand#7', 'Brand#20')""",
     # The job orders ticks by time only; among equal times price decides.
     "market_job": f"""WITH {_TICKS}, daily AS (
           SELECT ticker, date, min(price) AS open, max(high) AS high, min(low) AS low,

@@ -10,6 +10,7 @@ from tickloom.plans.listings import fit_formula, fit_full, fit_line
 
 CATEGORICAL = ["neighbourhood_cleansed", "room_type"]
 NUMERIC = ["bedrooms", "bathrooms", "number_of_reviews"]
+LABELS = [("neighbourhood_cleansed", flag) for flag in "ANR"] + [("room_type", s) for s in "FO"]
 
 
 def _random_split(spark, sf_dir):
@@ -82,6 +83,24 @@ def _assembled(spark, sf_dir):
     return values.select(*LISTING_KEYS, *slots)
 
 
+def _fit_balance(spark, sf_dir):
+    """What a least-squares fit must keep: over the training rows, the predictions have
+    the mean of the prices per label and the same mean products with each number."""
+    train, _ = _split(spark, sf_dir)
+    fitted = fit_full(train.select(*LISTING_FIELDS), train.select(*LISTING_FIELDS)).predictions
+
+    def mean(name, factor):
+        value = F.round(F.avg(factor * F.col("prediction")), 1)
+        return F.struct(F.lit(name).alias("name"), value.alias("value"))
+
+    labels = [
+        mean(f"{column}={label}", F.when(F.col(column) == label, 1).otherwise(0))
+        for column, label in LABELS
+    ]
+    products = [mean(column, F.col(column)) for column in NUMERIC]
+    return fitted.agg(F.array(*labels, *products).alias("means")).selectExpr("inline(means)")
+
+
 def _predictions(fit):
     def query(spark, sf_dir):
         train, test = _split(spark, sf_dir)
@@ -104,6 +123,7 @@ QUERIES = {
     "one_hot": _one_hot,
     "assembled_features": _assembled,
     "price_model": _predictions(fit_full),
+    "price_model_fit": _fit_balance,
     "price_model_formula": _predictions(fit_formula),
 }
 
@@ -152,6 +172,22 @@ ORACLES = {
         )
         SELECT {_KEYS}, l_quantity AS bedrooms, round(m * l_quantity + b, 2) AS prediction
         FROM rows, line WHERE split = 'test'""",
+    "price_model_fit": f"""
+        WITH train AS (
+          SELECT * FROM lineitem
+          WHERE {_split_of("l_orderkey", "l_linenumber", "l_partkey")} = 'train'
+        ), factors AS (
+          SELECT l_extendedprice AS price,
+                 unnest(['neighbourhood_cleansed=A', 'neighbourhood_cleansed=N',
+                         'neighbourhood_cleansed=R', 'room_type=F', 'room_type=O',
+                         'bedrooms', 'bathrooms', 'number_of_reviews']) AS name,
+                 unnest([CAST(l_returnflag = 'A' AS DOUBLE), CAST(l_returnflag = 'N' AS DOUBLE),
+                         CAST(l_returnflag = 'R' AS DOUBLE), CAST(l_linestatus = 'F' AS DOUBLE),
+                         CAST(l_linestatus = 'O' AS DOUBLE),
+                         l_quantity, l_discount, l_tax]) AS factor
+          FROM train
+        )
+        SELECT name, round(avg(factor * price), 1) AS value FROM factors GROUP BY name""",
     "string_index": f"""WITH {_INDEXED}
         SELECT {_KEYS}, flag AS "neighbourhood_cleansedIndex", state AS "room_typeIndex"
         FROM indexed""",

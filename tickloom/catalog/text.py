@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.catalog.views import documents, people, table
 from tickloom.functions import day_text, lagged_day, ratio, zero_if_missing
 from tickloom.operators.people import older_than, with_initial
-from tickloom.operators.profile import column_profile, row_total
+from tickloom.operators.profile import column_profile, preview, row_total
 from tickloom.operators.text import word_count
 
 
@@ -31,6 +31,9 @@ QUERIES = {
     "column_profile": lambda spark, sf_dir: column_profile(
         table(spark, sf_dir, "lineitem"), "l_quantity"
     ),
+    "table_preview": lambda spark, sf_dir: preview(
+        table(spark, sf_dir, "orders"), order_by=["o_orderkey"]
+    ).drop("o_orderdate"),
     "row_total": lambda spark, sf_dir: row_total(table(spark, sf_dir, "lineitem")),
     "scalar_functions": _scalars,
 }
@@ -46,6 +49,8 @@ ORACLES = {
         SELECT avg(l_quantity) AS avg_l_quantity, max(l_quantity) AS max_l_quantity,
                count(l_quantity) AS count_rows
         FROM lineitem""",
+    "table_preview": """
+        SELECT * EXCLUDE (o_orderdate) FROM orders ORDER BY o_orderkey LIMIT 10""",
     "row_total": "SELECT count(*) AS row_total FROM lineitem",
     "scalar_functions": """
         SELECT l_orderkey, l_linenumber, l_partkey,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ def max_by_key(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(column).alias(name))
 
 
+def preview(df: DataFrame, rows: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
+    """A few rows; with an order they are always the same ones."""
+    return (df.orderBy(*order_by) if order_by else df).limit(rows)
+
+
 def row_total(df: DataFrame) -> DataFrame:
     """The number of rows as a one-row frame."""
     return df.agg(F.count("*").alias("row_total"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 
 from tickloom.params import IndicatorParams
@@ -29,14 +31,19 @@ def land_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
+def default_output(day: date | None = None) -> str:
+    return f"stock_analysis_results_{day or date.today():%Y%m%d}"
+
+
 def save(
     df: DataFrame,
-    path: str,
+    path: str | None = None,
     fmt: str = "parquet",
     params: IndicatorParams = IndicatorParams(),
-) -> None:
-    """Save a ticker summary as ``parquet``, ``csv``, or ``json`` documents."""
+) -> str:
+    """Save a ticker summary as ``parquet``, ``csv``, or ``json`` documents; return where."""
     kind = fmt.lower()
+    path = path or default_output()
     if kind == "parquet":
         write_parquet(df, path)
     elif kind == "csv":
@@ -45,16 +52,17 @@ def save(
         write_ticker_documents(df, path, params)
     else:
         raise ValueError(f"unknown format {fmt!r}; use parquet, csv or json")
+    return path
 
 
 def save_with_raw(
     result: DataFrame,
     raw: DataFrame | None,
-    path: str,
+    path: str | None = None,
     fmt: str = "json",
     params: IndicatorParams = IndicatorParams(),
 ) -> None:
     """Save the result and, if given, the ticks as Parquet beside it."""
-    save(result, path, fmt, params)
+    path = save(result, path, fmt, params)
     if raw is not None:
         write_parquet(raw, f"{path}_raw")
