@@ -47,6 +47,10 @@ def test_hash_split_does_not_depend_on_partitions(spark):
     }
     assert len(splits) == 1
     assert 850 <= len(splits.pop()) <= 1150
+    train, test = ml.hash_split(df, ["id"], train_percent=30)
+    assert 1350 <= train.count() <= 1650 and train.union(test).distinct().count() == 5000
+    with pytest.raises(ValueError):
+        ml.hash_split(df, ["id"], train_percent=100)
 
 
 def test_single_feature_vector(listings):

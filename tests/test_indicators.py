@@ -147,6 +147,14 @@ def test_one_shuffle_serves_all_windows(spark):
     assert text.count("Sort [") == 1
 
 
+def test_few_tickers_still_use_all_tasks(spark):
+    bars = bars_of(spark, **{f"T{i}": [1, 2, 3] for i in range(40)})
+    assert ind.by_ticker(bars).rdd.getNumPartitions() == 8
+    together = ind.by_ticker(bars, 5)
+    summary = summarise_by_ticker(analysed_bars(together))
+    assert summary.count() == 40
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(

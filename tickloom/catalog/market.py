@@ -35,7 +35,7 @@ def _over_bars(*steps, columns):
     """A query that applies steps to the daily bars and shows some columns."""
 
     def query(spark, sf_dir):
-        df = bars(spark, sf_dir)
+        df = ind.by_ticker(bars(spark, sf_dir))
         for step in steps:
             df = df.transform(step)
         return df.select(*KEY, *columns)
@@ -76,7 +76,8 @@ def _rsi_chain(df):
 
 
 def _latest(spark, sf_dir):
-    return latest_per_key(bars(spark, sf_dir).transform(ind.moving_averages, PARAMS.ma_windows))
+    together = ind.by_ticker(bars(spark, sf_dir))
+    return latest_per_key(ind.moving_averages(together, PARAMS.ma_windows))
 
 
 def _latest_ticks(spark, sf_dir):
@@ -108,9 +109,8 @@ def ticker_summary(spark, sf_dir):
 
 def market_flagship(spark, sf_dir):
     """Ticks to bars, short and long average, latest row and state of each ticker."""
-    averages = daily_bars(ticks(spark, sf_dir), **TICK_ORDER).transform(
-        ind.moving_averages, (PARAMS.ma_short, PARAMS.ma_long)
-    )
+    together = ind.by_ticker(bars(spark, sf_dir))
+    averages = ind.moving_averages(together, (PARAMS.ma_short, PARAMS.ma_long))
     return sig.ma_status(latest_per_key(averages), PARAMS)
 
 
@@ -201,6 +201,7 @@ QUERIES = {
     ),
     "rsi_status": _over_bars(_rsi_chain, sig.rsi_status, columns=["rsi", "rsi_status"]),
     "macd": lambda spark, sf_dir: bars(spark, sf_dir)
+    .transform(ind.by_ticker)
     .transform(ind.macd)
     .select(
         *KEY,
@@ -211,6 +212,7 @@ QUERIES = {
         F.round("macd_histogram", 6).alias("macd_histogram"),
     ),
     "market_indicators": lambda spark, sf_dir: bars(spark, sf_dir)
+    .transform(ind.by_ticker)
     .transform(ind.indicators, PARAMS)
     .select(
         *KEY,

@@ -13,9 +13,6 @@ TICK_ORDER = {"order_by": ("sequence",), "unique_order": True}
 
 TOPIC = "user_events"
 
-# The ridership service answers at most this many items per request.
-ITEMS_PER_REQUEST = 1000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,7 +25,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks of a day share their timestamp; ``sequence`` orders them by order, line, part
     and price, so that ticks with the same sequence have the same price.
     """
-    price = F.round(F.col("l_extendedprice") * 100)
+    price = F.rint(F.col("l_extendedprice") * 100)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     sales = table(spark, sf_dir, "lineitem")
     return sales.join(part, sales.l_partkey == part.p_partkey).select(
@@ -52,7 +49,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as market ticks; a ticker never has two at the same time."""
-    price = F.round(F.col("value") * 100)
+    price = F.rint(F.col("value") * 100)
     return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("ticker"),
         F.col("ts").alias("timestamp"),
@@ -125,7 +122,7 @@ def ridership_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of the ridership service with up to a thousand items each.
+    """Answers of the ridership service, one per sale.
 
     Answers about finished lines report an error, so their rows must not be used.
     """
@@ -136,12 +133,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").cast("string").alias("GTON_TNOPE"),
         F.col("l_linenumber").cast("string").alias("GTOFF_TNOPE"),
     )
-    page = F.floor(F.monotonically_increasing_id() / ITEMS_PER_REQUEST)
-    answers = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(page.alias("page"), "l_linestatus")
-        .agg(F.collect_list(row).alias("row"))
-    )
+    answers = table(spark, sf_dir, "lineitem").select("l_linestatus", F.array(row).alias("row"))
     result = F.struct(
         F.when(failed, "ERROR-500").otherwise("INFO-000").alias("CODE"),
         F.when(failed, "server error").otherwise("ok").alias("MESSAGE"),

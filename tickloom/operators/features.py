@@ -20,15 +20,19 @@ def random_split(
     return tuple(df.randomSplit(list(weights), seed=seed))
 
 
-def _bucket(keys: Sequence[str]) -> Column:
-    """0..99 from the first 32 bits of the MD5 of the keys, the same in any engine."""
+def _in_first(percent: int, keys: Sequence[str]) -> Column:
+    """Whether the MD5 of the keys, a text of evenly spread hex digits, lies in the first
+    ``percent`` of its range. Any engine can repeat this."""
+    if not 0 < percent < 100:
+        raise ValueError(f"percent must lie between 0 and 100, not {percent}")
+    bound = f"{(percent << 32) // 100:08x}"
     text = F.concat_ws("|", *(F.col(k).cast("string") for k in keys))
-    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(100))
+    return F.md5(text) < bound
 
 
 def with_split(df: DataFrame, keys: Sequence[str], train_percent: int = 80) -> DataFrame:
     """Mark each row as ``train`` or ``test`` by its keys: no shuffle, no sort."""
-    is_train = _bucket(keys) < train_percent
+    is_train = _in_first(train_percent, keys)
     return df.withColumn("split", F.when(is_train, "train").otherwise("test"))
 
 
@@ -36,8 +40,8 @@ def hash_split(
     df: DataFrame, keys: Sequence[str], train_percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; the same keys always fall on the same side."""
-    marked = with_split(df, keys, train_percent)
-    return tuple(marked.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
+    is_train = _in_first(train_percent, keys)
+    return df.filter(is_train), df.filter(~is_train)
 
 
 def column_roles(df: DataFrame, label: str = "price") -> tuple[list[str], list[str]]:

@@ -32,6 +32,18 @@ def previous(column: str) -> Column:
     return F.lag(column, 1).over(ticker_days())
 
 
+def by_ticker(bars: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Bring the bars of each ticker together, ahead of the functions below.
+
+    They need this shuffle anyway. Done here it keeps its number of partitions, whereas
+    Spark would merge them by size, down to one task, although long windows compute far
+    more than the few bytes of the bars suggest.
+    """
+    if partitions is None:
+        partitions = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bars.repartition(partitions, "ticker")
+
+
 def moving_averages(
     bars: DataFrame, windows: Iterable[int] = (5, 10, 20, 50, 200)
 ) -> DataFrame:
@@ -51,9 +63,10 @@ def rsi(bars: DataFrame, period: int = 14) -> DataFrame:
 
     A frame without a losing day has no relative strength: ``rs`` and ``rsi`` are NULL.
     """
-    change = F.col("price_change")
-    moves = price_change(bars).withColumns(
+    change = F.col("close") - F.col("prev_close")
+    moves = bars.withColumn("prev_close", previous("close")).withColumns(
         {
+            "price_change": change,
             "gain": F.when(change > 0, change).otherwise(F.lit(0.0)),
             "loss": F.when(change < 0, F.abs(change)).otherwise(F.lit(0.0)),
         }
@@ -64,9 +77,8 @@ def rsi(bars: DataFrame, period: int = 14) -> DataFrame:
             "avg_loss": trailing_mean("loss", period),
         }
     )
-    return means.withColumn("rs", ratio("avg_gain", "avg_loss")).withColumn(
-        "rsi", 100 - ratio(F.lit(100.0), 1 + F.col("rs"))
-    )
+    strength = ratio("avg_gain", "avg_loss")
+    return means.withColumns({"rs": strength, "rsi": 100 - ratio(F.lit(100.0), 1 + strength)})
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:

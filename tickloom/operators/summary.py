@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tickloom.functions import percent_above
-from tickloom.operators.indicators import indicators
+from tickloom.operators.indicators import by_ticker, indicators
 from tickloom.operators.latest import latest_per_key
 from tickloom.operators.signals import (
     detect_crossovers,
@@ -23,7 +23,8 @@ DEFAULT = IndicatorParams()
 def analysed_bars(bars: DataFrame, params: IndicatorParams = DEFAULT) -> DataFrame:
     """Bars with indicators, crossovers, ten-day range, trend and signals."""
     return (
-        bars.transform(indicators, params)
+        bars.transform(by_ticker)
+        .transform(indicators, params)
         .transform(detect_crossovers, params)
         .transform(price_patterns)
         .transform(trading_signals)

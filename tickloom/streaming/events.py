@@ -82,7 +82,12 @@ def table_sink(url: str, table: str, properties: dict[str, str] | None = None) -
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stored = read_table(batch.sparkSession, url, table, properties)
-        write_table(new_rows(batch, stored), url, table, properties, mode="append")
+        # Looked at for its offsets and then written: do not decode it twice.
+        batch.persist()
+        try:
+            write_table(new_rows(batch, stored), url, table, properties, mode="append")
+        finally:
+            batch.unpersist()
 
     return write
 
