@@ -56,7 +56,7 @@ def initial(column: Column | str) -> Column:
     return F.upper(F.substring(F.nullif(_col(column), F.lit("")), 1, 1))
 
 
-def _first_letter(name: str | None) -> str | None:
+def _first_letter(name):
     return name[:1].upper() if name else None
 
 

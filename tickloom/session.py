@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows of one key compress well, so a hot partition looks smaller than it is.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
 }
 
 
