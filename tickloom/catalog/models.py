@@ -106,7 +106,7 @@ def _predictions(fit):
         train, test = _split(spark, sf_dir)
         fitted = fit(train.select(*LISTING_FIELDS), test)
         return fitted.predictions.select(
-            *LISTING_KEYS, "price", F.round("prediction", 2).alias("prediction")
+            *LISTING_KEYS, "price", F.round("prediction", 1).alias("prediction")
         )
 
     return query
@@ -154,7 +154,48 @@ indexed AS (
   JOIN {_index_of("l_linestatus")} state USING (l_linestatus)
 )"""
 
+def _least_squares() -> str:
+    """Predictions of the regression on all features, for the test rows.
+
+    One feature after the other is regressed on; each time its share is taken out of the
+    features that follow, so that the slopes do not depend on one another.
+    """
+    features = [
+        "CAST(l_returnflag = 'A' AS DOUBLE)",
+        "CAST(l_returnflag = 'N' AS DOUBLE)",
+        "CAST(l_linestatus = 'F' AS DOUBLE)",
+        *("l_quantity", "l_discount", "l_tax"),
+    ]
+    columns = ", ".join(f"{feature} AS x{i}" for i, feature in enumerate(features))
+    split = _split_of("l_orderkey", "l_linenumber", "l_partkey")
+    steps = [
+        f"""rows_0 AS (
+          SELECT {_KEYS}, l_extendedprice AS price, {split} AS split, {columns},
+                 (SELECT avg(l_extendedprice) FROM lineitem WHERE {split} = 'train') AS fit
+          FROM lineitem
+        )"""
+    ]
+    for i in range(len(features)):
+        later = range(i + 1, len(features))
+        shares = "".join(f", regr_slope(x{k}, x{i}) AS share_{k}" for k in later)
+        left = "".join(f", x{k} - share_{k} * (x{i} - mu) AS x{k}" for k in later)
+        steps.append(
+            f"""line_{i} AS (
+              SELECT avg(x{i}) AS mu, regr_slope(price, x{i}) AS slope{shares}
+              FROM rows_{i} WHERE split = 'train'
+            ), rows_{i + 1} AS (
+              SELECT {_KEYS}, price, split, fit + slope * (x{i} - mu) AS fit{left}
+              FROM rows_{i}, line_{i}
+            )"""
+        )
+    return f"""WITH {", ".join(steps)}
+        SELECT {_KEYS}, price, round(fit, 1) AS prediction
+        FROM rows_{len(features)} WHERE split = 'test'"""
+
+
 ORACLES = {
+    "price_model": _least_squares(),
+    "price_model_formula": _least_squares(),
     "random_split": "SELECT count(*) AS row_total, 1 AS share_kept FROM lineitem",
     "hash_split": f"""
         SELECT {_KEYS}, {_split_of("l_orderkey", "l_linenumber", "l_partkey")} AS split
