@@ -3,17 +3,98 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickloom.llm.archives import archived_pages
 from tickloom.llm.bpe_codec import bpe_round_trip
+from tickloom.llm.decontaminate import find_passages
 from tickloom.llm.frames import table
+from tickloom.llm.shards import placed_texts
+from tickloom.llm.topk import best_by_product, every_nth
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), key="doc_id")
 
 
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_passages(docs, table(spark, sf_dir, "benchmark"), result="found")
+    items = F.col("found.items")
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_by_product(table(spark, sf_dir, "embeddings"), every_nth())
+
+
+def op10_exact_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placed_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_arc_to_warc": op2_arc_to_warc,
+    "op3_decontamination": op3_decontamination,
+    "op9_ball_tree_topk": op9_ball_tree_topk,
+    "op10_exact_shuffle": op10_exact_shuffle,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLES: dict[str, str] = {
+    "op2_arc_to_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+        FROM f
+    """,
+    "op3_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        i AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+        w AS (SELECT item_id, words[p:p + 9] AS part
+              FROM (SELECT *, unnest(range(1, greatest(len(words) - 8, 2))) AS p FROM i WHERE len(words) > 0)),
+        k AS (SELECT item_id, len(part) AS size, array_to_string(part, ' ') AS window_text FROM w),
+        g AS (SELECT doc_id, size, p, array_to_string(words[p:p + size - 1], ' ') AS window_text
+              FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS p
+                    FROM d, (SELECT DISTINCT size FROM k))),
+        h AS (SELECT DISTINCT doc_id, p, size, item_id FROM g JOIN k USING (size, window_text)),
+        n AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+              FROM (SELECT doc_id, unnest(range(p, p + size)) AS word FROM h) GROUP BY doc_id),
+        s AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                     string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+              FROM h GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
+    """,
+    "op9_ball_tree_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+                   FROM embeddings
+                   WHERE embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+              FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5
+    """,
+}
