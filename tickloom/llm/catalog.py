@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tickloom.llm.archives import archived_pages
 from tickloom.llm.bpe_codec import bpe_round_trip
 from tickloom.llm.decontaminate import find_passages
-from tickloom.llm.frames import table
+from tickloom.llm.frames import table, utf8_bytes
 from tickloom.llm.shards import placed_texts
+from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.topk import best_by_product, every_nth
 
 
@@ -35,6 +36,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs).select("doc_id", utf8_bytes("text").alias("n_bytes"), "n_tokens")
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_by_product(table(spark, sf_dir, "embeddings"), every_nth())
 
@@ -47,6 +54,7 @@ QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_arc_to_warc": op2_arc_to_warc,
     "op3_decontamination": op3_decontamination,
+    "op7_token_counts": op7_token_counts,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_exact_shuffle": op10_exact_shuffle,
 }
