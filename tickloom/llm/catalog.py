@@ -9,6 +9,7 @@ from tickloom.llm.archives import archived_pages
 from tickloom.llm.bpe_codec import bpe_round_trip
 from tickloom.llm.decontaminate import find_passages
 from tickloom.llm.frames import table, utf8_bytes
+from tickloom.llm.near_dup import near_duplicate_classes
 from tickloom.llm.shards import placed_texts
 from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.topk import best_by_product, every_nth
@@ -36,6 +37,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(docs).select("doc_id", utf8_bytes("text").alias("n_bytes"), "n_tokens")
@@ -54,6 +59,7 @@ QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_arc_to_warc": op2_arc_to_warc,
     "op3_decontamination": op3_decontamination,
+    "op5_near_duplicates": op5_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_exact_shuffle": op10_exact_shuffle,
