@@ -9,9 +9,11 @@ from tickloom.llm.archives import archived_pages
 from tickloom.llm.bpe_codec import bpe_round_trip
 from tickloom.llm.decontaminate import find_passages
 from tickloom.llm.frames import table, utf8_bytes
+from tickloom.llm.learning import fold_of
 from tickloom.llm.near_dup import near_duplicate_classes
 from tickloom.llm.shards import placed_texts
 from tickloom.llm.token_counts import count_tokens
+from tickloom.llm.toxicity import FOLDS, HELD_OUT, THRESHOLD, fit_toxicity, score_toxicity
 from tickloom.llm.topk import best_by_product, every_nth
 
 
@@ -47,6 +49,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs.select("doc_id", "text"), model, result="score")
+    held_out = F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False))
+    predicted = (F.col("score") >= THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_by_product(table(spark, sf_dir, "embeddings"), every_nth())
 
@@ -61,6 +72,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_exact_shuffle": op10_exact_shuffle,
 }
