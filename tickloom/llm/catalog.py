@@ -11,6 +11,7 @@ from tickloom.llm.decontaminate import find_passages
 from tickloom.llm.frames import table, utf8_bytes
 from tickloom.llm.learning import fold_of
 from tickloom.llm.near_dup import near_duplicate_classes
+from tickloom.llm.quality import GOOD, fit_quality, score_quality
 from tickloom.llm.shards import placed_texts
 from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.toxicity import FOLDS, HELD_OUT, THRESHOLD, fit_toxicity, score_toxicity
@@ -39,6 +40,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), result="score")
+    return scored.select("doc_id", "score", (F.col("score") >= GOOD).alias("keep"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
@@ -70,6 +77,7 @@ QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_arc_to_warc": op2_arc_to_warc,
     "op3_decontamination": op3_decontamination,
+    "op4_quality": op4_quality,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,

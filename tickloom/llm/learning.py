@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,16 +46,56 @@ def logistic(log_odds: Column) -> Column:
     return 1 / (1 + F.exp(-log_odds))
 
 
-def fit_logistic(rows: DataFrame, ridge: float = 1e-3, iterations: int = 40) -> Logistic | None:
-    """Fit on columns ``x`` (array), ``y`` (0 or 1) and ``weight``; None unless both
-    labels have weight."""
-    mass = {y: w for y, w in rows.groupBy("y").agg(F.sum("weight")).collect() if w and w > 0}
-    if set(mass) != {0.0, 1.0}:
-        return None
-    fit = LogisticRegression(featuresCol="v", labelCol="y", weightCol="weight", regParam=ridge, maxIter=iterations)
-    model = fit.fit(rows.select(array_to_vector("x").alias("v"), "y", "weight"))
-    return Logistic(tuple(float(w) for w in model.coefficients), float(model.intercept))
+def _sums(rows: DataFrame, of_batch: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows of what ``of_batch`` makes of features, labels and weights.
 
+    Each task adds up its rows; the driver gets one row for each number of the sum.
+    """
 
-def sigmoid(x: float) -> float:
-    return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0)
+                features = x.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                part = of_batch(features, *(batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    parts = rows.select("x", "y", "weight").mapInArrow(added, "sums array<double>")
+    sums = parts.select(F.posexplode("sums").alias("i", "part")).groupBy("i").agg(F.sum("part").alias("total"))
+    return np.array([row["total"] for row in sorted(sums.collect())])
+
+
+def fit_logistic(rows: DataFrame, ridge: float = 1e-3, steps: int = 15, start: Logistic | None = None) -> Logistic | None:
+    """Fit on columns ``x`` (array), ``y`` (0 or 1) and ``weight`` by Newton's method,
+    one pass over the rows for each step, from ``start`` if that is given; None unless
+    both labels have weight."""
+    moments = _sums(rows, lambda x, y, w: np.concatenate([[w.sum(), (w * y).sum()], w @ x, w @ (x * x)]))
+    if not len(moments) or not 0 < moments[1] < moments[0]:
+        return None
+    mass, size = moments[0], (len(moments) - 2) // 2
+    mean = moments[2 : 2 + size] / mass
+    spread = np.sqrt((moments[2 + size :] / mass - mean * mean).clip(0))
+    scale = np.where(spread > 1e-9, 1 / np.maximum(spread, 1e-9), 0.0)
+    beta = np.zeros(size + 1)
+    if start is not None:
+        known = np.array(start.weights)
+        beta = np.append(known * np.where(scale > 0, spread, 0.0), start.bias + known @ mean)
+    penalty = np.append(np.full(size, ridge), 1e-9)
+    for _ in range(steps):
+
+        def slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray, beta: np.ndarray = beta) -> np.ndarray:
+            z = np.column_stack([(x - mean) * scale, np.ones(len(x))])
+            p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+            return np.concatenate([z.T @ (w * (p - y)), (z.T @ (z * (w * p * (1 - p))[:, None])).ravel()])
+
+        sums = _sums(rows, slopes) / mass
+        gradient, bend = sums[: size + 1], sums[size + 1 :].reshape(size + 1, size + 1)
+        step = np.linalg.solve(bend + np.diag(penalty + 1e-9), gradient + penalty * beta)
+        beta = beta - step * min(1.0, 4.0 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 0.02:
+            break
+    weights = beta[:-1] * scale
+    return Logistic(tuple(weights.tolist()), float(beta[-1] - weights @ mean))
