@@ -12,6 +12,7 @@ from tickloom.llm.frames import table, utf8_bytes
 from tickloom.llm.learning import fold_of
 from tickloom.llm.near_dup import near_duplicate_classes
 from tickloom.llm.quality import GOOD, fit_quality, score_quality
+from tickloom.llm.quotations import reply_ordered
 from tickloom.llm.shards import placed_texts
 from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.toxicity import FOLDS, HELD_OUT, THRESHOLD, fit_toxicity, score_toxicity
@@ -50,6 +51,14 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op6_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = reply_ordered(table(spark, sf_dir, "conversations"))
+    return ordered.select(
+        "conv_id", "turn", "role", "position", "thread", "reply_to", "n_quoted", "quote_depth",
+        F.sha2("reply_text", 256).alias("reply_sha256"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(docs).select("doc_id", utf8_bytes("text").alias("n_bytes"), "n_tokens")
@@ -79,6 +88,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_quotation_threads": op6_quotation_threads,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
