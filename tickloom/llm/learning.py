@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +36,10 @@ class Logistic:
     bias: float = 0.0
 
     def log_odds(self, features: Column) -> Column:
-        terms = (F.coalesce(features[i].cast("double"), F.lit(0.0)) * w for i, w in enumerate(self.weights))
-        return reduce(add, terms, F.lit(self.bias))
+        if not self.weights:
+            return F.lit(self.bias)
+        terms = F.zip_with(features, F.lit(list(self.weights)), lambda x, w: x * w)
+        return F.aggregate(terms, F.lit(self.bias), lambda total, x: total + F.coalesce(x, F.lit(0.0)))
 
 
 def logistic(log_odds: Column) -> Column:
@@ -68,7 +68,7 @@ def _sums(rows: DataFrame, of_batch: Callable[[np.ndarray, np.ndarray, np.ndarra
     return np.array([row["total"] for row in sorted(sums.collect())])
 
 
-def fit_logistic(rows: DataFrame, ridge: float = 1e-3, steps: int = 15, start: Logistic | None = None) -> Logistic | None:
+def fit_logistic(rows: DataFrame, ridge: float = 5e-3, steps: int = 15, start: Logistic | None = None) -> Logistic | None:
     """Fit on columns ``x`` (array), ``y`` (0 or 1) and ``weight`` by Newton's method,
     one pass over the rows for each step, from ``start`` if that is given; None unless
     both labels have weight."""
@@ -95,7 +95,7 @@ def fit_logistic(rows: DataFrame, ridge: float = 1e-3, steps: int = 15, start: L
         gradient, bend = sums[: size + 1], sums[size + 1 :].reshape(size + 1, size + 1)
         step = np.linalg.solve(bend + np.diag(penalty + 1e-9), gradient + penalty * beta)
         beta = beta - step * min(1.0, 4.0 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 0.02:
+        if np.abs(step).max() < 0.02 * (1 + np.abs(beta).max()):
             break
     weights = beta[:-1] * scale
     return Logistic(tuple(weights.tolist()), float(beta[-1] - weights @ mean))
