@@ -7,7 +7,8 @@ beat the k-th score so far. The k-th scores found in the first shards are handed
 others, which start with them. Answers of all shards meet in one ranking per query, of
 k rows from each shard.
 
-Numbers are whole: components are scaled and rounded down, products are exact.
+Numbers are whole: components are scaled and rounded down, products are exact as long as
+they fit 64 bits.
 
 Cases: vectors that are null, empty or hold null, NaN or infinite components take no part,
 nor do rows without an id. Vectors of different length have no product. Equal scores go by
@@ -37,6 +38,9 @@ LEAF = 32
 # Of so many shards, one is searched first, for the k-th scores the others start with.
 FIRST_OF = 8
 
+# Below every score.
+NOTHING = -(2**63)
+
 ANSWER = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -92,10 +96,10 @@ class BallTree:
         upper = queries @ self.centres.T + np.outer(lengths, self.radii)
         return np.floor(upper + 1e-9 * np.abs(upper) + 1e-6)
 
-    def search(self, query: np.ndarray, bounds: list[float], own_id: int, top: int, kth: float) -> list[tuple[int, int]]:
+    def search(self, query: np.ndarray, bounds: list[float], own_id: int, top: int, kth: int) -> list[tuple[int, int]]:
         """Best (score, id) of this tree, by falling score, then id; scores below ``kth``
         are of no interest."""
-        best: list[tuple[float, int]] = []  # (score, -id), the worst first
+        best: list[tuple[int, int]] = []  # (score, -id), the worst first
         todo = [(-bounds[0], self.least[0], 0)]
         while todo:
             bound, least, node = heapq.heappop(todo)
@@ -109,11 +113,11 @@ class BallTree:
                 continue
             a, b = self.where[node]
             scores = self.points[a:b] @ query
-            floor = max(kth, best[0][0]) if full else kth
-            for i in np.flatnonzero(scores >= floor).tolist():
+            least_score = max(kth, best[0][0]) if full else kth
+            for i in np.flatnonzero(scores >= least_score).tolist():
                 number = int(self.ids[a + i])
                 if number != own_id:
-                    heapq.heappush(best, (float(scores[i]), -number))
+                    heapq.heappush(best, (int(scores[i]), -number))
                     if len(best) > top:
                         heapq.heappop(best)
         return [(int(score), -number) for score, number in sorted(best, reverse=True)]
@@ -132,8 +136,7 @@ def _searched(top: int):
         bounds = tree.bounds(asked.astype(float)).tolist()
         rows = []
         for i, (own_id, kth) in enumerate(zip(queries["id"].tolist(), queries["kth"].tolist())):
-            floor = -math.inf if pd.isna(kth) else kth
-            rows += [(own_id, number, score) for score, number in tree.search(asked[i], bounds[i], own_id, top, floor)]
+            rows += [(own_id, number, score) for score, number in tree.search(asked[i], bounds[i], own_id, top, kth)]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return search
@@ -170,8 +173,8 @@ def best_by_product(
 
     def answers(shard: Column, kth: DataFrame | None) -> DataFrame:
         start = asked.filter(shard)
-        start = start.withColumn("kth", F.lit(None).cast("double")) if kth is None else start.join(kth, "id", "left")
-        start = start.select(*cell, "id", "v", "kth")
+        start = start.withColumn("kth", F.lit(None)) if kth is None else start.join(kth, "id", "left")
+        start = start.select(*cell, "id", "v", F.coalesce(F.col("kth").cast("bigint"), F.lit(NOTHING)).alias("kth"))
         both = sharded.filter(shard).groupBy(*cell).cogroup(start.groupBy(*cell))
         return both.applyInPandas(_searched(top), ANSWER)
 
@@ -183,7 +186,7 @@ def best_by_product(
     leading = F.col("shard") < F.lit(_blocks(shards, FIRST_OF))
     first = settle(ranked(answers(leading, None)), "first")
     full = first.filter(F.col("rank") == top)
-    kth = full.select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("kth"))
+    kth = full.select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
     rest = answers(~leading, kth)
     return ranked(first.drop("rank").unionByName(rest)).select("query_id", "rank", "vec_id", "score")
 
