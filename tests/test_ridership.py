@@ -13,7 +13,7 @@ from tickloom.plans.ridership import (
     ridership_figures,
 )
 from tickloom.sinks.files import land_json
-from tickloom.sinks.reports import write_report
+from tickloom.sinks.reports import write_report, write_report_document
 from tickloom.sources.paths import daily_paths
 
 ROWS = [
@@ -103,7 +103,7 @@ def read_text(path):
 
 def test_report_document(rides, tmp_path):
     path = str(tmp_path / "report.json")
-    assert write_report(rides, path, datetime(2024, 3, 8, 1, 2, 3)) == "document"
+    write_report_document(rides, path, datetime(2024, 3, 8, 1, 2, 3))
     text = read_text(path)
     report = json.loads(text)
     assert "서울역" in text
@@ -131,12 +131,20 @@ def test_report_document(rides, tmp_path):
     assert report["top5_stations"][0] == {"station_name": "시청", "total_usage": 250}
 
 
-def test_report_over_many_stations_is_written_by_section(spark, rides, tmp_path):
+def test_report_lines_are_in_order_and_whole(rides, tmp_path):
     path = str(tmp_path / "report")
-    assert write_report(rides, path, document_entries=3) == "sections"
-    stored = spark.read.json(path)
-    counts = {r.section: r["count"] for r in stored.groupBy("section").count().collect()}
-    assert counts == {"total_by_line": 2, "station_stats": 5, "ratio_top10": 5, "top5_stations": 5}
+    write_report(rides, path, datetime(2024, 3, 8, 1, 2, 3))
+    entries = [json.loads(line) for line in read_text(path).splitlines()]
+    names = {}
+    for e in entries:
+        assert set(e) == {"section", "name", "total", "boarding", "alighting", "ratio", "generated_at"}
+        assert e["generated_at"] == "2024-03-08 01:02:03"
+        names.setdefault(e["section"], []).append(e["name"])
+    assert list(names) == sorted(names)
+    assert names["total_by_line"] == ["1호선", "2호선"]
+    assert names["station_stats"] == ["시청", "서울역", "강남", "종점", "[괄호]"]
+    assert names["ratio_top10"] == ["서울역", "시청", "[괄호]", "강남", "종점"]
+    assert names["top5_stations"] == ["시청", "서울역", "종점", "[괄호]", "강남"]
 
 
 def test_daily_paths():
@@ -171,8 +179,9 @@ def test_land_and_report(spark, tmp_path):
     target = land_ridership(spark, str(answers), "2024-03-08", root)
     assert target == f"{root}/20240301/240301.json"
     assert read_ridership(spark, target).count() == len(ROWS)
-    report = json.loads(read_text(report_ridership(spark, "2024-03-08", root)))
-    assert report["total_by_line"][0] == {"line_name": "1호선", "total_passengers": 320}
+    entries = [json.loads(e) for e in read_text(report_ridership(spark, "2024-03-08", root)).splitlines()]
+    first = next(e for e in entries if e["section"] == "total_by_line")
+    assert (first["name"], first["total"]) == ("1호선", 320)
 
 
 def test_only_errors_land_nothing(spark, tmp_path):

@@ -19,11 +19,15 @@ def decode_json(records: DataFrame, schema: StructType, keep: tuple[str, ...] =
     return records.select(*keep, data.alias("data")).select(*keep, "data.*")
 
 
-def decode_ticks(records: DataFrame) -> DataFrame:
-    """Market ticks with the time parsed and the trading date derived from it."""
+def decode_ticks(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Market ticks with the time parsed and the trading date derived from it.
+
+    ``keep`` names columns of the record, such as the offset, that tell in what order
+    ticks arrived.
+    """
     parsed = F.try_to_timestamp(F.col("timestamp"))
     return (
-        decode_json(records, TICK_MESSAGE)
+        decode_json(records, TICK_MESSAGE, keep)
         .withColumn("timestamp", parsed)
         .withColumn("date", F.col("timestamp").cast("date"))
     )

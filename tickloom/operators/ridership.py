@@ -117,11 +117,23 @@ def report_lines(usage: DataFrame, ratios: int = 10, stations: int = 5) -> DataF
     )
 
 
+def report_entries(lines: DataFrame, generated_at: str) -> DataFrame:
+    """The report as one JSON text per entry, in the column ``entry``: by section, within
+    it largest first, missing values last, ties by name. Missing fields are null."""
+    value = (
+        F.when(F.col("section") == "station_stats", F.col("boarding"))
+        .when(F.col("section") == "ratio_top10", F.col("ratio"))
+        .otherwise(F.col("total"))
+    )
+    ordered = lines.orderBy("section", value.desc_nulls_last(), "name")
+    stamped = ordered.withColumn("generated_at", F.lit(generated_at))
+    return stamped.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("entry"))
+
+
 def report_document(lines: DataFrame, generated_at: str) -> DataFrame:
     """The report as one JSON text in the column ``document``.
 
-    The whole report becomes one row; :func:`tickloom.sinks.reports.write_report` checks
-    its size first.
+    The whole report becomes one row of one task: for reports over few stations.
     """
 
     def section(name, order, **fields):

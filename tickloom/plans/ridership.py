@@ -5,13 +5,11 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.operators.ridership import (
-    board_ratio,
-    line_totals,
-    station_totals,
-    top_ratio,
-    top_stations,
+    report_lines,
+    usage_by_line_and_station,
     with_counters,
 )
 from tickloom.schemas import RIDERSHIP_ROW
@@ -20,6 +18,7 @@ from tickloom.sinks.reports import write_report
 from tickloom.sources.envelope import envelope_rows, read_envelopes
 from tickloom.sources.files import read_json_lines
 from tickloom.sources.paths import daily_paths
+from tickloom.workspace import settle
 
 
 def land_ridership(
@@ -60,11 +59,19 @@ def report_ridership(
 
 
 def ridership_figures(rows: DataFrame) -> dict[str, DataFrame]:
-    """The figures one by one, for a look at them."""
+    """The figures one by one, for a look at them; one pass over the rows serves all."""
+    lines = report_lines(settle(usage_by_line_and_station(rows), "usage"))
+
+    def section(name: str, order: str, **columns: str) -> DataFrame:
+        own = lines.filter(F.col("section") == name)
+        picked = own.select(*(F.col(source).alias(alias) for alias, source in columns.items()))
+        return picked.orderBy(F.col(order).desc_nulls_last(), next(iter(columns)))
+
     return {
-        "total_by_line": line_totals(rows),
-        "station_stats": station_totals(rows),
-        "board_ratio": board_ratio(rows),
-        "ratio_top10": top_ratio(rows),
-        "top5_stations": top_stations(rows),
+        "total_by_line": section("total_by_line", "total_passengers", line_name="name", total_passengers="total"),
+        "station_stats": section(
+            "station_stats", "total_boarding", station_name="name", total_boarding="boarding", total_alighting="alighting"
+        ),
+        "ratio_top10": section("ratio_top10", "board_to_alight_ratio", station_name="name", board_to_alight_ratio="ratio"),
+        "top5_stations": section("top5_stations", "total_usage", station_name="name", total_usage="total"),
     }

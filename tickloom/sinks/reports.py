@@ -1,4 +1,4 @@
-"""Documents: one per ticker, or one per report."""
+"""Documents per ticker, and reports."""
 
 from __future__ import annotations
 
@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 from tickloom.operators.documents import documents_as_json, ticker_documents
 from tickloom.operators.ridership import (
     report_document,
+    report_entries,
     report_lines,
     usage_by_line_and_station,
 )
 from tickloom.params import IndicatorParams
 from tickloom.workspace import settle
 
-# A report of up to this many entries is written as one document.
-DOCUMENT_ENTRIES = 100_000
-
-
 def write_ticker_documents(
     df: DataFrame, path: str, params: IndicatorParams = IndicatorParams()
 ) -> None:
@@ -28,20 +25,19 @@ def write_ticker_documents(
     documents.select("document").write.mode("overwrite").text(path)
 
 
-def write_report(
-    rows: DataFrame,
-    path: str,
-    generated_at: datetime | None = None,
-    document_entries: int = DOCUMENT_ENTRIES,
-) -> str:
-    """Write the ridership report and say how: as one ``document``, or, if it has more
-    entries than fit one row comfortably, as JSON lines per section (``sections``)."""
-    moment = f"{generated_at or datetime.now():%Y-%m-%d %H:%M:%S}"
-    # One pass over the rows; every section and the size check read its small result.
+def _lines_and_moment(rows: DataFrame, generated_at: datetime | None) -> tuple[DataFrame, str]:
+    # One pass over the rows; every section reads its small result.
     lines = report_lines(settle(usage_by_line_and_station(rows), "usage"))
-    if lines.count() <= document_entries:
-        report_document(lines, moment).write.mode("overwrite").text(path)
-        return "document"
-    stamped = lines.withColumn("generated_at", F.lit(moment))
-    stamped.write.mode("overwrite").partitionBy("section").json(path)
-    return "sections"
+    return lines, f"{generated_at or datetime.now():%Y-%m-%d %H:%M:%S}"
+
+
+def write_report(rows: DataFrame, path: str, generated_at: datetime | None = None) -> None:
+    """Write the ridership report as JSON lines in order, over any number of stations."""
+    entries = report_entries(*_lines_and_moment(rows, generated_at))
+    entries.write.mode("overwrite").text(path)
+
+
+def write_report_document(rows: DataFrame, path: str, generated_at: datetime | None = None) -> None:
+    """Write the ridership report as a single JSON document, which one task puts together."""
+    document = report_document(*_lines_and_moment(rows, generated_at))
+    document.write.mode("overwrite").text(path)
