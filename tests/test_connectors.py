@@ -138,13 +138,19 @@ def test_table_sink_survives_a_half_written_batch(spark, monkeypatch, tmp_path):
     schema = key + "user_id int, event string, amount int, page string, event_time string"
     spark.createDataFrame([], schema).write.parquet(table)
 
-    def append(df, url, name, properties, mode):
-        assert mode == "append"
+    def append(df, url, name, properties, mode, connections):
+        assert mode == "append" and connections == 2
         df.write.mode("append").parquet(table)
 
-    monkeypatch.setattr(streams, "read_table", lambda spark, *a: spark.read.schema(schema).parquet(table))
+    looked_at = []
+
+    def ranges(spark, url, name, conditions, properties):
+        looked_at.append(conditions)
+        return spark.read.schema(schema).parquet(table).filter(" OR ".join(f"({c})" for c in conditions))
+
+    monkeypatch.setattr(streams, "read_ranges", ranges)
     monkeypatch.setattr(streams, "write_table", append)
-    sink = streams.table_sink("jdbc:x", "user_events_stream")
+    sink = streams.table_sink("jdbc:x", "user_events_stream", connections=2)
 
     def batch(first, last):
         rows = [record(f'{{"user_id":{i},"event":"login"}}', i) for i in range(first, last)]
@@ -157,3 +163,17 @@ def test_table_sink_survives_a_half_written_batch(spark, monkeypatch, tmp_path):
     sink(batch(20, 30), 1)
     offsets = [r.offset for r in spark.read.parquet(table).collect()]
     assert sorted(offsets) == list(range(30))
+    assert looked_at[-1] == ["topic = 't' AND partition = 0 AND offset BETWEEN 20 AND 29"]
+    sink(batch(0, 0), 2)
+    assert len(looked_at) == 3
+
+
+def test_look_up_stays_near_each_partition(spark):
+    rows = [(None, None, topic, part, offset, None, 0) for topic, part, offset in
+            [("t", 0, 10), ("t", 0, 12), ("t", 1, 5_000_000_000), ("o'x", 0, 7)]]
+    batch = spark.createDataFrame(rows, KAFKA_RECORD)
+    assert streams.offset_ranges(batch) == [
+        "topic = 'o''x' AND partition = 0 AND offset BETWEEN 7 AND 7",
+        "topic = 't' AND partition = 0 AND offset BETWEEN 10 AND 12",
+        "topic = 't' AND partition = 1 AND offset BETWEEN 5000000000 AND 5000000000",
+    ]

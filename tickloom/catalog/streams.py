@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tickloom.catalog.events import LOADED, ROUTED
-from tickloom.catalog.views import event_records
+from tickloom.catalog.views import TOPIC, event_records
 from tickloom.operators.events import route_records
 from tickloom.sinks.files import write_parquet
 from tickloom.streaming import batch_folder_sink, drain, landed_records, load_events, loaded_rows
@@ -18,18 +20,23 @@ def _landed(spark, sf_dir):
 
 
 def _load(spark, sf_dir):
-    target, checkpoint = fresh_path(spark, "user-events"), fresh_path(spark, "checkpoint")
+    """Two topics, each by a query of its own, loaded into one table."""
+    target = fresh_path(spark, "user-events")
     sink = batch_folder_sink(target, unique_offsets=False)
-    load_events(_landed(spark, sf_dir), sink, checkpoint).awaitTermination()
+    for name in (TOPIC, f"{TOPIC}_again"):
+        records = _landed(spark, sf_dir).withColumn("topic", F.lit(name))
+        load_events(records, sink, fresh_path(spark, "checkpoint")).awaitTermination()
     return loaded_rows(spark, target)
 
 
 def _route(spark, sf_dir):
     target, checkpoint = fresh_path(spark, "messages"), fresh_path(spark, "checkpoint")
     drain(route_records(_landed(spark, sf_dir)), batch_folder_sink(target), checkpoint)
-    return loaded_rows(spark, target)
+    return loaded_rows(spark, target, key=("partition", "offset"))
 
 
 QUERIES = {"stream_event_load": _load, "stream_event_routing": _route}
 
-ORACLES = {"stream_event_load": LOADED, "stream_event_routing": ROUTED}
+ORACLES = {"stream_event_load": f"""
+        SELECT t.topic, l.* EXCLUDE (topic)
+        FROM ({LOADED}) l, (VALUES ('user_events'), ('user_events_again')) t(topic)""", "stream_event_routing": ROUTED}

@@ -44,6 +44,17 @@ def read_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def read_ranges(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    conditions: list[str],
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """The rows that meet any of some conditions, one task and connection for each."""
+    return spark.read.jdbc(url, table, predicates=conditions, properties=properties or {})
+
+
 def preview_query(table: str = "public.sample_table", rows: int = 10) -> str:
     """The first rows of a table as a derived table, so that the limit runs in the database."""
     if not _TABLE_NAME.fullmatch(table):

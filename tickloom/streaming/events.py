@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.decode import decode_events
 from tickloom.schemas import KAFKA_RECORD
 from tickloom.sinks.jdbc import write_table
-from tickloom.sources.jdbc import read_table
+from tickloom.sources.jdbc import read_ranges
 
 # What identifies a message.
 MESSAGE_KEY = ("topic", "partition", "offset")
@@ -40,52 +40,82 @@ def decoded(records: DataFrame) -> DataFrame:
 
 
 def batch_folder_sink(path: str, unique_offsets: bool = True) -> BatchSink:
-    """Append to a Parquet table with one folder per batch.
-
-    A batch that is run again after a failure replaces its own folder, so nothing is
-    loaded twice. A Kafka source never repeats an offset within a batch; set
-    ``unique_offsets=False`` for sources that may, at the price of a shuffle.
+    """Append to a Parquet table with one folder per query and batch.
+
+    The identity of a query is kept in its checkpoint. So a batch that is run again after
+    a failure replaces its own folder and no other, and several queries may load into one
+    table. A query with a new checkpoint is another query: what it reads again is there
+    twice, and :func:`loaded_rows` leaves it out. A Kafka source never repeats an offset
+    within a batch; set ``unique_offsets=False`` for sources that may, at the price of a
+    shuffle.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if unique_offsets else batch.dropDuplicates(list(MESSAGE_KEY))
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows.write.mode("overwrite").parquet(f"{path}/query_id={query or 'none'}/batch_id={batch_id}")
 
     return write
 
 
-def loaded_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+def loaded_rows(
+    spark: SparkSession, path: str, key: tuple[str, ...] | None = MESSAGE_KEY
+) -> DataFrame:
+    """The rows of a table, each message once although several queries may have loaded it.
+
+    ``key=None`` skips that step, and its shuffle, where no query ever began anew.
+    """
+    rows = spark.read.parquet(path).drop("query_id", "batch_id")
+    return rows if key is None else rows.dropDuplicates(list(key))
 
 
 def new_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of a batch whose message is not stored yet.
 
-    Only stored messages between the lowest and highest offset of the batch are looked
-    at, a condition the database evaluates; the join therefore grows with the batch,
-    not with the table.
+    ``stored`` need only hold the messages near the batch, see :func:`offset_ranges`.
     """
-    low, high = batch.agg(F.min("offset"), F.max("offset")).first()
-    if low is None:
-        return batch
     key = list(MESSAGE_KEY)
-    nearby = stored.filter(F.col("offset").between(low, high)).select(*key)
-    return batch.dropDuplicates(key).join(nearby, key, "left_anti")
+    return batch.dropDuplicates(key).join(stored.select(*key), key, "left_anti")
+
 
+def offset_ranges(batch: DataFrame) -> list[str]:
+    """For each partition of a topic in the batch, a condition for its range of offsets.
 
-def table_sink(url: str, table: str, properties: dict[str, str] | None = None) -> BatchSink:
+    One row for each such partition comes to the driver, however many messages there are.
+    """
+    ends = batch.groupBy("topic", "partition").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    found = []
+    for row in ends.orderBy("topic", "partition").collect():
+        topic = row["topic"].replace("'", "''")
+        place = f"topic = '{topic}' AND partition = {row['partition']}"
+        found.append(f"{place} AND offset BETWEEN {row['low']} AND {row['high']}")
+    return found
+
+
+def table_sink(
+    url: str,
+    table: str,
+    properties: dict[str, str] | None = None,
+    connections: int | None = None,
+) -> BatchSink:
     """Append to a JDBC table, leaving out messages a failed attempt already stored.
 
-    The table must exist with the columns of the message key; an index on them keeps
-    the look-up cheap.
+    The look-up reads one range of offsets for each partition of the batch, each in a task
+    of its own, and the database evaluates the range; an index on the message key keeps
+    that cheap. The table must exist with the columns of the key. ``connections`` bounds
+    the tasks that write at a time. Give the source a rate limit (``files_per_batch``,
+    ``maxOffsetsPerTrigger``): without one, the first batch is the whole backlog.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = read_table(batch.sparkSession, url, table, properties)
         # Looked at for its offsets and then written: do not decode it twice.
         batch.persist()
         try:
-            write_table(new_rows(batch, stored), url, table, properties, mode="append")
+            ranges = offset_ranges(batch)
+            if ranges:
+                stored = read_ranges(batch.sparkSession, url, table, ranges, properties)
+                rows = new_rows(batch, stored)
+                write_table(rows, url, table, properties, mode="append", connections=connections)
         finally:
             batch.unpersist()
 
