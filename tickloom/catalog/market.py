@@ -16,9 +16,9 @@ from tickloom.operators.profile import max_by_key
 from tickloom.operators.ranges import between_dates, between_times, only_tickers, padded_range
 from tickloom.operators.summary import analysed_bars, summarise_by_ticker
 from tickloom.params import IndicatorParams
-from tickloom.plans.market import market_job
-from tickloom.schemas import DAILY_BAR_COLUMNS
-from tickloom.sinks.files import write_parquet
+from tickloom.plans.market import market_job, market_summary
+from tickloom.sinks.files import save, write_parquet
+from tickloom.sources.dispatch import ticks_of_records
 from tickloom.workspace import fresh_path, settle
 
 PARAMS = IndicatorParams()
@@ -122,7 +122,7 @@ def _event_summary(spark, sf_dir):
 def _market_job(spark, sf_dir, save_raw=False):
     """The whole job over stored ticks of some tickers in a date range."""
     source, output = fresh_path(spark, "ticks"), fresh_path(spark, "summary")
-    write_parquet(ticks(spark, sf_dir).drop("sequence"), source)
+    write_parquet(ticks(spark, sf_dir), source)
     market_job(
         spark,
         "file",
@@ -134,12 +134,25 @@ def _market_job(spark, sf_dir, save_raw=False):
         save_raw=save_raw,
         params=PARAMS,
         location=source,
+        **TICK_ORDER,
     )
     return output
 
 
 def _job_summary(spark, sf_dir):
-    return spark.read.parquet(_market_job(spark, sf_dir)).select(*DAILY_BAR_COLUMNS)
+    return _rounded_summary(spark.read.parquet(_market_job(spark, sf_dir)))
+
+
+def _topic_summary(spark, sf_dir):
+    """The job over a topic, from records to JSON documents, with the volume as it was."""
+    output = fresh_path(spark, "documents")
+    found = ticks_of_records(tick_messages(spark, sf_dir))
+    summary = settle(market_summary(found, PARAMS, unique_order=True), "summary")
+    save(summary, output, "json", PARAMS)
+    # Every ticker has its document; all other columns are those of the summary.
+    written = spark.read.schema("ticker string").json(output)
+    kept = _rounded_summary(summary).join(written, "ticker", "left_semi")
+    return kept.withColumn("volume", F.col("volume") % 3_000_000_000)
 
 
 def _job_raw_ticks(spark, sf_dir):
@@ -175,7 +188,8 @@ def _documents(spark, sf_dir):
 def _decoded_ticks(spark, sf_dir):
     decoded = decode_ticks(tick_messages(spark, sf_dir))
     iso = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return decoded.select("ticker", iso.alias("tick_time"), "date", "open", "close", "volume")
+    prices = ("open", "high", "low", "close")
+    return decoded.select("ticker", iso.alias("tick_time"), "date", *prices, "volume", "change_pct")
 
 
 AVERAGES = [f"ma_{n}" for n in PARAMS.ma_windows]
@@ -247,6 +261,7 @@ QUERIES = {
     "ticker_document": _documents,
     "market_job": _job_summary,
     "market_job_raw": _job_raw_ticks,
+    "market_job_topic": _topic_summary,
 }
 
 # ---------------------------------------------------------------------------- SQL
@@ -404,8 +419,9 @@ ORACLES = {
         WHERE ticker IN ('Brand#1', 'Brand#7', 'Brand#20')""",
     "tick_decode": """
         SELECT event_type AS ticker, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS tick_time,
-               CAST(ts AS DATE) AS date, round(value * 100) AS open, round(value * 100) AS close,
-               user_id + 3000000000 AS volume
+               CAST(ts AS DATE) AS date, round(value * 100) AS open, round(value * 100) AS high,
+               round(value * 100) AS low, round(value * 100) AS close,
+               user_id + 3000000000 AS volume, CAST(NULL AS DOUBLE) AS change_pct
         FROM events""",
     "moving_averages": _columns("close", "ma_5", "ma_10", "ma_20", "ma_50", "ma_200"),
     "price_change": _columns("close", "prev_close", "price_change"),
@@ -457,15 +473,14 @@ ORACLES = {
         SELECT ticker, date, l_orderkey, l_linenumber, l_partkey, volume FROM ticks
         WHERE date BETWEEN DATE '1996-12-29' AND DATE '1999-01-01'
           AND ticker IN ('Brand#1', 'Brand#7', 'Brand#20')""",
-    # The job orders ticks by time only; among equal times price decides.
-    "market_job": f"""WITH {_TICKS}, daily AS (
-          SELECT ticker, date, min(price) AS open, max(high) AS high, min(low) AS low,
-                 max(price) AS close, CAST(sum(volume) AS BIGINT) AS volume
-          FROM ticks
-          WHERE date BETWEEN DATE '1996-12-29' AND DATE '1999-01-01'
-            AND ticker IN ('Brand#1', 'Brand#7', 'Brand#20')
-          GROUP BY ticker, date
-        )
-        SELECT * FROM daily
-        WHERE (ticker, date) IN (SELECT (ticker, max(date)) FROM daily GROUP BY ticker)""",
 }
+
+# The whole summary, over the ticks of the job only.
+_JOB_TICKS = _TICKS.replace(
+    "ON l_partkey = p_partkey",
+    """ON l_partkey = p_partkey
+  WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-12-29' AND DATE '1999-01-01'
+    AND p_brand IN ('Brand#1', 'Brand#7', 'Brand#20')""",
+)
+ORACLES["market_job"] = ORACLES["ticker_summary"].replace(_TICKS, _JOB_TICKS)
+ORACLES["market_job_topic"] = ORACLES["event_ticker_summary"]

@@ -12,8 +12,9 @@ from tickloom.operators.bars import daily_bars
 from tickloom.operators.ranges import only_tickers, padded_range
 from tickloom.operators.summary import analysed_bars, summarise_by_ticker
 from tickloom.params import IndicatorParams
-from tickloom.sinks.files import save_with_raw
+from tickloom.sinks.files import save, write_parquet
 from tickloom.sources.dispatch import open_ticks
+from tickloom.workspace import settle
 
 
 def market_summary(
@@ -37,15 +38,28 @@ def market_job(
     fmt: str = "json",
     save_raw: bool = False,
     params: IndicatorParams = IndicatorParams(),
+    order_by: Sequence[str] = ("timestamp",),
+    unique_order: bool = False,
     **source_options,
 ) -> DataFrame:
     """Read, analyse and save. The range is padded on both sides before it is applied.
 
+    ``order_by`` and ``unique_order`` say how ticks are ordered within a day, see
+    :func:`tickloom.operators.bars.daily_ohlcv`; for a topic, ``keep=("offset",)`` carries
+    the offset along. With ``save_raw`` the ticks are written first and the analysis reads
+    what was written, so both are of the same ticks even if the source grows meanwhile.
+    The summary is worked out once; the returned frame reads it.
+
     Raises :class:`tickloom.functions.EmptyInputError` if no tick is left to analyse.
     """
     first, last = padded_range(start, end)
     ticks = open_ticks(spark, source, start=first, end=last, **source_options)
-    ticks = require_rows(only_tickers(ticks, tickers), f"{source} for the range and tickers")
-    summary = market_summary(ticks, params)
-    save_with_raw(summary, ticks if save_raw else None, output, fmt, params)
+    ticks = only_tickers(ticks, tickers)
+    what = f"{source} for the range and tickers"
+    if save_raw:
+        raw = f"{output}_raw"
+        write_parquet(ticks, raw)
+        ticks = spark.read.parquet(raw)
+    summary = settle(market_summary(require_rows(ticks, what), params, order_by, unique_order), "summary")
+    save(summary, output, fmt, params)
     return summary

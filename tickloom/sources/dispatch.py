@@ -39,6 +39,16 @@ def or_fallback(
     return empty_ticks(spark) if stored is None else stored
 
 
+def ticks_of_records(
+    records: DataFrame,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Ticks of Kafka records, limited to the inclusive range."""
+    return between_times(decode_ticks(records, keep), start, end)
+
+
 def open_ticks(
     spark: SparkSession,
     kind: str,
@@ -51,19 +61,21 @@ def open_ticks(
     default_path: str | None = None,
     start: datetime | None = None,
     end: datetime | None = None,
+    keep: tuple[str, ...] = (),
     **options,
 ) -> DataFrame:
     """Ticks from ``kafka``, ``db`` or ``file``, limited to the inclusive range.
 
     ``db`` without connection properties reads ``location`` as Parquet. Without a
     location the default path is read; if that does not exist either, this fails.
+    ``keep`` names columns of a topic's records, such as the offset, to carry along.
     """
     if kind == "kafka":
         records = read_topic(spark, servers, topic, **options)
         stored = or_fallback(spark, records, default_path)
         if stored is not None:
             return stored
-        return between_times(decode_ticks(records), start, end)
+        return ticks_of_records(records, start, end, keep)
     if kind not in ("db", "file"):
         raise ValueError(f"unknown source {kind!r}; use file, db or kafka")
     if kind == "db" and location and properties:
