@@ -38,7 +38,7 @@ def _fallback(spark, sf_dir):
     records = event_records(spark, sf_dir)
     nothing = records.filter(F.col("topic") != TOPIC)
     stored = or_fallback(spark, nothing, f"{sf_dir}/events.parquet")
-    return stored.select("event_id", "event_type", "value")
+    return stored.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 QUERIES = {
@@ -94,5 +94,6 @@ ORACLES = {
     "event_counts": f"""WITH {_EVENTS}
         SELECT event, count(*) AS count FROM user_events GROUP BY event""",
     "event_routing": ROUTED,
-    "empty_topic_fallback": "SELECT event_id, event_type, value FROM events",
+    "empty_topic_fallback": """
+        SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events""",
 }

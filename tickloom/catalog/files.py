@@ -69,6 +69,26 @@ def _people_csv(spark, sf_dir):
     return read_csv(spark, output, schema="name string, age double, initial string")
 
 
+def _inventory(spark, sf_dir):
+    """Sales written as CSV by day; for each day its rows, and whether all their files are
+    listed with the size the reader reports."""
+    path = fresh_path(spark, "sales-csv")
+    sales = _sales(spark, sf_dir).select("l_orderkey", "l_returnflag")
+    sales.write.partitionBy("l_returnflag").option("header", True).csv(path)
+    listed = file_inventory(spark, path, "*.csv").withColumn("file_path", _bare_path("file_path"))
+    read = spark.read.option("header", True).csv(path)
+    rows = read.select("l_returnflag", _bare_path("_metadata.file_path").alias("file_path"), "_metadata.file_size")
+    files = rows.groupBy("l_returnflag", "file_path", F.col("file_size").alias("size")).count()
+    both = files.join(listed, "file_path", "left")
+    complete = F.coalesce(F.col("file_size") == F.col("size"), F.lit(False)).cast("int")
+    return both.groupBy("l_returnflag").agg(F.sum("count").alias("row_total"), F.min(complete).alias("all_listed"))
+
+
+def _bare_path(column):
+    """A path without scheme and host, decoded."""
+    return F.url_decode(F.regexp_replace(column, "^[a-z0-9]+:/*", "/"))
+
+
 QUERIES = {
     "csv_roundtrip": _csv,
     "csv_inferred": _csv_inferred,
@@ -77,12 +97,14 @@ QUERIES = {
     "text_lines": _lines,
     "csv_profile": _csv_profile,
     "people_csv": _people_csv,
-    "file_inventory": lambda spark, sf_dir: file_inventory(spark, sf_dir, "*.parquet"),
+    "file_inventory": _inventory,
 }
 
 _SALES = "SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem"
 
 ORACLES = {
+    "file_inventory": """
+        SELECT l_returnflag, count(*) AS row_total, 1 AS all_listed FROM lineitem GROUP BY ALL""",
     "csv_roundtrip": _SALES,
     "csv_inferred": "SELECT * REPLACE (CAST(p_partkey AS INTEGER) AS p_partkey) FROM part",
     "parquet_roundtrip": _SALES,

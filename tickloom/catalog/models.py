@@ -14,11 +14,10 @@ LABELS = [("neighbourhood_cleansed", flag) for flag in "ANR"] + [("room_type", s
 
 
 def _random_split(spark, sf_dir):
-    """Rows of both parts together, and whether the first holds about four fifths."""
-    train, test = ml.random_split(listings(spark, sf_dir))
-    parts = train.withColumn("train", F.lit(1)).union(test.withColumn("train", F.lit(0)))
-    share = F.avg("train").between(0.75, 0.85).cast("int")
-    return parts.agg(F.count("*").alias("row_total"), share.alias("share_kept"))
+    """The rows of both parts together: none is lost, none is in both. Which part a row is
+    in is no matter of SQL; tests look at the share and at repeated splits."""
+    train, test = ml.random_split(listings(spark, sf_dir).select(*LISTING_KEYS))
+    return train.unionByName(test)
 
 
 def _marked(spark, sf_dir):
@@ -70,8 +69,11 @@ def _one_hot(spark, sf_dir):
     rows = _indexed(spark, sf_dir)
     encoded = ml.one_hot(CATEGORICAL).fit(rows).transform(rows)
     values = ml.features_as_array(encoded, "neighbourhood_cleansedOHE")
-    slots = F.col("neighbourhood_cleansedOHE")
-    return values.select(*LISTING_KEYS, slots[0].alias("slot_0"), slots[1].alias("slot_1"))
+    values = ml.features_as_array(values, "room_typeOHE")
+    slots, room = F.col("neighbourhood_cleansedOHE"), F.col("room_typeOHE")
+    return values.select(
+        *LISTING_KEYS, slots[0].alias("slot_0"), slots[1].alias("slot_1"), room[0].alias("room_0")
+    )
 
 
 def _assembled(spark, sf_dir):
@@ -196,7 +198,7 @@ def _least_squares() -> str:
 ORACLES = {
     "price_model": _least_squares(),
     "price_model_formula": _least_squares(),
-    "random_split": "SELECT count(*) AS row_total, 1 AS share_kept FROM lineitem",
+    "random_split": f"SELECT {_KEYS} FROM lineitem",
     "hash_split": f"""
         SELECT {_KEYS}, {_split_of("l_orderkey", "l_linenumber", "l_partkey")} AS split
         FROM lineitem""",
@@ -233,7 +235,8 @@ ORACLES = {
         SELECT {_KEYS}, flag AS "neighbourhood_cleansedIndex", state AS "room_typeIndex"
         FROM indexed""",
     "one_hot": f"""WITH {_INDEXED}
-        SELECT {_KEYS}, CAST(flag = 0 AS DOUBLE) AS slot_0, CAST(flag = 1 AS DOUBLE) AS slot_1
+        SELECT {_KEYS}, CAST(flag = 0 AS DOUBLE) AS slot_0, CAST(flag = 1 AS DOUBLE) AS slot_1,
+               CAST(state = 0 AS DOUBLE) AS room_0
         FROM indexed""",
     "assembled_features": f"""WITH {_INDEXED}
         SELECT {_KEYS}, CAST(flag = 0 AS DOUBLE) AS feature_0, CAST(flag = 1 AS DOUBLE) AS feature_1,

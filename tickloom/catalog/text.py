@@ -33,7 +33,7 @@ QUERIES = {
     ),
     "table_preview": lambda spark, sf_dir: preview(
         table(spark, sf_dir, "orders"), order_by=["o_orderkey"]
-    ).drop("o_orderdate"),
+    ).withColumn("o_orderdate", F.col("o_orderdate").cast("date")),
     "row_total": lambda spark, sf_dir: row_total(table(spark, sf_dir, "lineitem")),
     "scalar_functions": _scalars,
 }
@@ -50,7 +50,8 @@ ORACLES = {
                count(l_quantity) AS count_rows
         FROM lineitem""",
     "table_preview": """
-        SELECT * EXCLUDE (o_orderdate) FROM orders ORDER BY o_orderkey LIMIT 10""",
+        SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate)
+        FROM orders ORDER BY o_orderkey LIMIT 10""",
     "row_total": "SELECT count(*) AS row_total FROM lineitem",
     "scalar_functions": """
         SELECT l_orderkey, l_linenumber, l_partkey,
