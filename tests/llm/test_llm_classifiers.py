@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import pytest
+from messy import documents, no_documents, prose, texts
+from pyspark.sql import functions as F
+
+from tickloom.llm.learning import fit_logistic, fold_of, label_sample
+from tickloom.llm.quality import fit_quality, score_quality, text_features
+from tickloom.llm.toxicity import VOTERS, Lexicon, fit_label_model, fit_toxicity, learns, score_toxicity
+
+BAD = ["scum", "vermin", "rotter", "wretch", "lowlife"]
+
+
+def toxic_text(seed):
+    rng, words = random.Random(seed), prose(seed, 60).split()
+    for _ in range(5):
+        words.insert(rng.randrange(len(words)), rng.choice(BAD))
+    return " ".join(words)
+
+
+def junk_text(seed):
+    return " ".join(f"{w}{'#$%&'[i % 4] * 3}" for i, w in enumerate(prose(seed, 60).split()))
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows = []
+    for i in range(450):
+        kind = i % 9
+        text = toxic_text(i) if kind == 0 else junk_text(i) if kind == 1 else prose(i, 60)
+        rows.append((i, text, "en", f"src{i % 5}", len(text), int(kind != 1), int(kind == 0)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, quality int, toxic int")
+    return df.drop("quality", "toxic").cache(), df.select("doc_id", "quality", "toxic").cache()
+
+
+def test_logistic_fit_ends_where_slopes_vanish(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 3)) * [1, 5, 0] + [0, 2, 7]
+    y = (rng.random(600) < 1 / (1 + np.exp(-(x[:, 0] - 0.3 * x[:, 1])))).astype(float)
+    rows = [(v.tolist(), float(t), 1.0) for v, t in zip(x, y)]
+    fit = fit_logistic(spark.createDataFrame(rows, "x array<double>, y double, weight double"), ridge=1e-4)
+    p = 1 / (1 + np.exp(-(x @ np.array(fit.weights) + fit.bias)))
+    assert np.abs(x[:, :2].T @ (p - y)).max() / 600 < 0.01 and fit.weights[2] == 0
+    only = spark.createDataFrame([r for r in rows if r[1] == 1], "x array<double>, y double, weight double")
+    assert fit_logistic(only) is None and fit_logistic(only.limit(0)) is None
+
+
+def test_label_sample_is_bounded_and_one_for_each_id(spark):
+    rows = [(1, 0), (1, 1), (2, 0), (None, 1), (3, None), (4, 7)] + [(i, 0) for i in range(10, 60)]
+    df = spark.createDataFrame(rows, "id int, y int")
+    got = {r.key: r.label for r in label_sample(df, "id", "y", 1000).collect()}
+    assert got[1] == 1.0 and got[2] == 0.0 and not {None, 3, 4} & got.keys() and len(got) == 52
+    assert label_sample(df, "id", "y", 9).count() == 9
+
+
+def test_label_model_finds_the_rates_of_voters():
+    rng = np.random.default_rng(2)
+    truth = rng.random(20_000) < 0.15
+    rates = np.where(truth[:, None], np.linspace(0.4, 0.9, VOTERS), np.linspace(0.01, 0.08, VOTERS))
+    votes = (rng.random((20_000, VOTERS)) < rates).astype(int)
+    votes[:, 1] = votes[:, 0]  # one voter repeats another
+    patterns, n = np.unique(votes, axis=0, return_counts=True)
+    model = fit_label_model(patterns, n)
+    assert abs(model.prior - 0.15) < 0.02
+    assert np.abs(model.rates[2:, 1] - np.linspace(0.4, 0.9, VOTERS)[2:]).max() < 0.05
+    assert model.correlation[0, 1] > 0.9 and model.counts[0] < 0.7 < model.counts[5]
+    assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.99
+
+
+def test_entries_count_from_their_level():
+    lexicon = Lexicon.of(["scum", "abcd*2"])
+    votes = lambda text: lexicon.features(text)[1]
+    assert votes("clean words only") == 0 and votes("") == 0
+    assert votes("some SCUM here") & 1
+    assert votes("abcde") == 0 and votes("abcde abcdf abcd") != 0
+
+
+def test_toxic_documents_are_found_without_their_labels(labelled):
+    docs, labels = labelled
+    model = fit_toxicity(docs, labels)
+    scored = score_toxicity(docs, model).join(labels, "doc_id").withColumn("learnt", learns("doc_id"))
+    held = scored.filter("NOT learnt").collect()
+    assert len(held) > 100
+    assert all((r.toxicity >= 0.7) == (r.toxic == 1) for r in held)
+    # Labels of the held-out fold are never looked at.
+    turned = labels.withColumn("toxic", F.when(learns("doc_id"), F.col("toxic")).otherwise(1 - F.col("toxic")))
+    assert fit_toxicity(docs, turned) == model
+
+
+def test_bad_documents_are_found(labelled):
+    docs, labels = labelled
+    seen = labels.filter(fold_of("doc_id", 3) != 1)
+    scored = score_quality(docs, fit_quality(docs, seen)).join(labels, "doc_id")
+    held = scored.filter(fold_of("doc_id", 3) == 1).collect()
+    assert len(held) > 100
+    assert all((r.quality_score >= 0.5) == (r.quality == 1) for r in held)
+
+
+def test_text_features_of_nothing():
+    assert np.isfinite(text_features("")).all() and np.isfinite(text_features(" \n ")).all()
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_messy_documents(spark, labelled, extra):
+    known, labels = labelled
+    docs = documents(spark, extra)
+    toxicity, quality = fit_toxicity(known, labels), fit_quality(known, labels)
+    for scored, name in ((score_toxicity(docs, toxicity), "toxicity"), (score_quality(docs, quality), "quality_score")):
+        rows = scored.collect()
+        assert len(rows) == len(texts()) + 4
+        assert all(0 <= r[name] <= 1 for r in rows)
+        assert name != "toxicity" or len({r[name] for r in rows if not r.text}) == 1
+    # Learning from such tables goes through as well.
+    messy_labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1), (None, 1, 1), (3, None, None), (3, 1, 0)], labels.schema)
+    assert score_toxicity(docs, fit_toxicity(docs, messy_labels)).count() == docs.count()
+    assert score_quality(docs, fit_quality(docs, messy_labels)).count() == docs.count()
+
+
+def test_without_labels_or_documents(spark, labelled):
+    docs, labels = labelled
+    none = labels.limit(0)
+    assert {r.toxicity for r in score_toxicity(docs, fit_toxicity(docs, none)).collect()} == {0.0}
+    assert {r.quality_score for r in score_quality(docs, fit_quality(docs, none)).collect()} == {1.0}
+    empty = no_documents(spark)
+    assert score_toxicity(empty, fit_toxicity(empty, labels)).collect() == []
+    assert score_quality(empty, fit_quality(empty, labels)).collect() == []
