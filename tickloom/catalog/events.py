@@ -8,6 +8,7 @@ from tickloom.catalog.views import TOPIC, event_records, user_events
 from tickloom.operators.decode import decode_events, with_parsed_time
 from tickloom.operators.events import route_records
 from tickloom.operators.profile import count_by
+from tickloom.plans.events import inspect_events
 from tickloom.schemas import USER_EVENT_BASIC
 from tickloom.sinks.kafka import encode_json
 from tickloom.sources.dispatch import or_fallback
@@ -42,6 +43,7 @@ def _fallback(spark, sf_dir):
 
 
 QUERIES = {
+    "event_inspect": lambda spark, sf_dir: inspect_events(event_records(spark, sf_dir)),
     "event_decode": _decoded,
     "event_decode_basic": _decoded_basic,
     "event_encode": _encoded,
@@ -83,6 +85,8 @@ LOADED = f"""WITH {_EVENTS}
     FROM user_events"""
 
 ORACLES = {
+    "event_inspect": f"""WITH {_EVENTS}
+        SELECT user_id, event, amount, page, time_text AS event_time FROM user_events""",
     "event_decode": f"""WITH {_EVENTS}
         SELECT user_id, event, amount, page, time_text AS event_time,
                strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_at

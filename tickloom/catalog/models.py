@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.catalog.views import LISTING_FIELDS, LISTING_KEYS, listings
 from tickloom.operators import features as ml
-from tickloom.plans.listings import fit_formula, fit_full, fit_line
+from tickloom.plans.listings import fit_formula, fit_full, fit_line, price_models, settled_split
+from tickloom.workspace import settle
 
 CATEGORICAL = ["neighbourhood_cleansed", "room_type"]
 NUMERIC = ["bedrooms", "bathrooms", "number_of_reviews"]
-LABELS = [("neighbourhood_cleansed", flag) for flag in "ANR"] + [("room_type", s) for s in "FO"]
 
 
 def _random_split(spark, sf_dir):
@@ -88,24 +91,24 @@ def _assembled(spark, sf_dir):
 def _fit_balance(spark, sf_dir):
     """What a least-squares fit must keep: over the training rows, the predictions have
     the mean of the prices per label and the same mean products with each number."""
-    train, _ = _split(spark, sf_dir)
-    fitted = fit_full(train.select(*LISTING_FIELDS), train.select(*LISTING_FIELDS)).predictions
-
-    def mean(name, factor):
-        value = F.round(F.avg(factor * F.col("prediction")), 1)
-        return F.struct(F.lit(name).alias("name"), value.alias("value"))
-
+    train, _ = settled_split(listings(spark, sf_dir), LISTING_KEYS, LISTING_FIELDS)
+    train = train.select(*LISTING_FIELDS)
+    fitted = settle(fit_full(train, train).predictions.select(*LISTING_FIELDS, "prediction"), "fitted")
+    value = lambda factor: F.round(F.avg(factor), 1).alias("value")
     labels = [
-        mean(f"{column}={label}", F.when(F.col(column) == label, 1).otherwise(0))
-        for column, label in LABELS
+        fitted.groupBy(F.concat(F.lit(f"{column}="), column).alias("name")).agg(value(F.col("prediction")))
+        for column in CATEGORICAL
     ]
-    products = [mean(column, F.col(column)) for column in NUMERIC]
-    return fitted.agg(F.array(*labels, *products).alias("means")).selectExpr("inline(means)")
+    products = [
+        fitted.agg(value(F.col(column) * F.col("prediction"))).select(F.lit(column).alias("name"), "value")
+        for column in NUMERIC
+    ]
+    return reduce(DataFrame.unionByName, [*labels, *products])
 
 
 def _predictions(fit):
     def query(spark, sf_dir):
-        train, test = _split(spark, sf_dir)
+        train, test = settled_split(listings(spark, sf_dir), LISTING_KEYS, LISTING_FIELDS)
         fitted = fit(train.select(*LISTING_FIELDS), test)
         return fitted.predictions.select(
             *LISTING_KEYS, "price", F.round("prediction", 1).alias("prediction")
@@ -114,7 +117,28 @@ def _predictions(fit):
     return query
 
 
+def _price_models(spark, sf_dir):
+    """Both models of the job, fitted from rows written once."""
+    models = price_models(listings(spark, sf_dir), LISTING_KEYS)
+    rows = [
+        fitted.predictions.select(
+            *LISTING_KEYS, F.lit(name).alias("model"), F.round("prediction", 1).alias("prediction")
+        )
+        for name, fitted in models.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _string_index_join(spark, sf_dir):
+    rows = listings(spark, sf_dir)
+    for column in CATEGORICAL:
+        rows = ml.with_label_index(rows, column)
+    return rows.select(*LISTING_KEYS, "neighbourhood_cleansedIndex", "room_typeIndex")
+
+
 QUERIES = {
+    "price_models": _price_models,
+    "string_index_join": _string_index_join,
     "random_split": _random_split,
     "hash_split": _marked,
     "feature_vector": _feature_vector,
@@ -221,16 +245,18 @@ ORACLES = {
           WHERE {_split_of("l_orderkey", "l_linenumber", "l_partkey")} = 'train'
         ), factors AS (
           SELECT l_extendedprice AS price,
-                 unnest(['neighbourhood_cleansed=A', 'neighbourhood_cleansed=N',
-                         'neighbourhood_cleansed=R', 'room_type=F', 'room_type=O',
-                         'bedrooms', 'bathrooms', 'number_of_reviews']) AS name,
-                 unnest([CAST(l_returnflag = 'A' AS DOUBLE), CAST(l_returnflag = 'N' AS DOUBLE),
-                         CAST(l_returnflag = 'R' AS DOUBLE), CAST(l_linestatus = 'F' AS DOUBLE),
-                         CAST(l_linestatus = 'O' AS DOUBLE),
-                         l_quantity, l_discount, l_tax]) AS factor
+                 unnest(['bedrooms', 'bathrooms', 'number_of_reviews']) AS name,
+                 unnest([l_quantity, l_discount, l_tax]) AS factor
           FROM train
         )
-        SELECT name, round(avg(factor * price), 1) AS value FROM factors GROUP BY name""",
+        SELECT name, round(avg(factor * price), 1) AS value FROM factors
+        GROUP BY name
+        UNION ALL
+        SELECT 'neighbourhood_cleansed=' || l_returnflag, round(avg(l_extendedprice), 1)
+        FROM train GROUP BY l_returnflag
+        UNION ALL
+        SELECT 'room_type=' || l_linestatus, round(avg(l_extendedprice), 1)
+        FROM train GROUP BY l_linestatus""",
     "string_index": f"""WITH {_INDEXED}
         SELECT {_KEYS}, flag AS "neighbourhood_cleansedIndex", state AS "room_typeIndex"
         FROM indexed""",
@@ -244,3 +270,11 @@ ORACLES = {
                l_discount AS feature_4, l_tax AS feature_5
         FROM indexed""",
 }
+
+ORACLES["string_index_join"] = ORACLES["string_index"]
+ORACLES["price_models"] = f"""
+    SELECT * FROM (
+      SELECT {_KEYS}, 'full' AS model, prediction FROM ({ORACLES["price_model"]})
+      UNION ALL
+      SELECT {_KEYS}, 'line', prediction
+      FROM ({ORACLES["line_predictions"].replace("b, 2)", "b, 1)")}))"""

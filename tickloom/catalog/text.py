@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.catalog.views import documents, people, table
-from tickloom.functions import day_text, lagged_day, ratio, zero_if_missing
+from tickloom.functions import day_text, initial_udf, lagged_day, ratio, zero_if_missing
 from tickloom.operators.people import older_than, with_initial
 from tickloom.operators.profile import column_profile, preview, row_total
 from tickloom.operators.text import word_count
@@ -28,6 +28,9 @@ def _scalars(spark, sf_dir):
 QUERIES = {
     "word_count": lambda spark, sf_dir: word_count(documents(spark, sf_dir)),
     "name_initial": lambda spark, sf_dir: with_initial(older_than(people(spark, sf_dir), 26)),
+    "name_initial_udf": lambda spark, sf_dir: older_than(people(spark, sf_dir), 26).withColumn(
+        "initial", initial_udf("name")
+    ),
     "column_profile": lambda spark, sf_dir: column_profile(
         table(spark, sf_dir, "lineitem"), "l_quantity"
     ),
@@ -61,3 +64,4 @@ ORACLES = {
                strftime(l_shipdate - INTERVAL 7 DAY, '%Y%m%d') AS landing_day
         FROM lineitem""",
 }
+ORACLES["name_initial_udf"] = ORACLES["name_initial"]

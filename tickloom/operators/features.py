@@ -8,9 +8,11 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, RFormula, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.workspace import settle
+
 
 def random_split(
     df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42
@@ -60,6 +62,28 @@ def indexer(categorical: Sequence[str]) -> StringIndexer:
     )
 
 
+def label_index(df: DataFrame, column: str) -> DataFrame:
+    """``column`` and its ``index`` by falling frequency, then label, for any number of
+    labels: a distributed sort whose parts are numbered on from each other."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).count()
+    ordered = counts.orderBy(F.desc("count"), column).withColumn("_at", F.monotonically_increasing_id())
+    ordered = settle(ordered.select(column, "_at"), "labels")
+    part = F.shiftright("_at", 33)
+    parts = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each part of the sort.
+    starts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    numbered = ordered.join(starts, part == F.col("_part"))
+    return numbered.select(column, (F.col("_before") + F.col("_at") - F.col("_first")).cast("double").alias("index"))
+
+
+def with_label_index(df: DataFrame, column: str) -> DataFrame:
+    """Add ``<column>Index`` by a join with :func:`label_index`; rows without a label are
+    skipped, as by :func:`indexer`."""
+    index = label_index(df, column).withColumnRenamed("index", f"{column}Index")
+    return df.join(index, column)
+
+
 def one_hot(categorical: Sequence[str]) -> OneHotEncoder:
     return OneHotEncoder(
         inputCols=[f"{name}Index" for name in categorical],
@@ -79,9 +103,14 @@ def single_feature_pipeline(feature: str = "bedrooms", label: str = "price") ->
     return Pipeline(stages=[assembler([feature]), regression(label)])
 
 
-def full_pipeline(df: DataFrame, label: str = "price") -> Pipeline:
-    """Index, one-hot encode, assemble and regress, by the column types of ``df``."""
-    categorical, numeric = column_roles(df, label)
+def full_pipeline(
+    df: DataFrame, label: str = "price", categorical: Sequence[str] | None = None
+) -> Pipeline:
+    """Index, one-hot encode, assemble and regress. Without a list of categorical columns
+    all text columns are; each of their labels becomes an entry on the driver and a slot
+    of the vector, so name the columns where a text column has very many."""
+    texts, numeric = column_roles(df, label)
+    categorical = texts if categorical is None else list(categorical)
     inputs = [*(f"{name}OHE" for name in categorical), *numeric]
     return Pipeline(
         stages=[indexer(categorical), one_hot(categorical), assembler(inputs), regression(label)]
