@@ -42,7 +42,16 @@ def _landed_answers(spark, sf_dir):
 
 def _api_envelope(spark, sf_dir):
     answers = read_envelopes(spark, _landed_answers(spark, sf_dir), one_per_file=False)
-    return rid.with_counters(envelope_rows(answers)).drop("USE_YMD", "REG_YMD")
+    return rid.with_counters(envelope_rows(answers))
+
+
+def _answer_files(spark, sf_dir):
+    """Each answer a file of its own, as the service sends them: the sales of a supplier,
+    some hundred rows at any scale."""
+    path = fresh_path(spark, "answers")
+    answers = envelopes(spark, sf_dir, by=("l_suppkey",)).withColumn("n", F.monotonically_increasing_id())
+    answers.repartition("n").write.partitionBy("n").text(path)
+    return rid.with_counters(envelope_rows(read_envelopes(spark, path)).drop("n"))
 
 
 def _accepted_answers(spark, sf_dir):
@@ -86,6 +95,7 @@ QUERIES = {
     "top5_stations": _over_ridership(rid.top_stations),
     "ridership_report": _report_lines,
     "api_envelope": _api_envelope,
+    "api_answer_files": _answer_files,
     "accepted_answers": _accepted_answers,
     "daily_landing": _daily_landing,
     "ridership_job": _ridership_job,
@@ -115,6 +125,12 @@ SELECT line_name AS SBWY_ROUT_LN_NM, station_name AS SBWY_STNS_NM,
        boarding AS GTON_TNOPE, alighting AS GTOFF_TNOPE
 FROM rides"""
 
+_API_DAYS = """
+SELECT strftime(l_shipdate, '%Y%m%d') AS USE_YMD, l_returnflag AS SBWY_ROUT_LN_NM,
+       CAST(l_suppkey AS VARCHAR) AS SBWY_STNS_NM, CAST(l_quantity AS BIGINT) AS GTON_TNOPE,
+       CAST(l_linenumber AS BIGINT) AS GTOFF_TNOPE, strftime(l_shipdate, '%Y%m%d') AS REG_YMD
+FROM lineitem WHERE l_linestatus <> 'F'"""
+
 _LINE_TOTALS = f"WITH {_ROWS} SELECT line_name, total AS total_passengers FROM lines"
 
 ORACLES = {
@@ -144,7 +160,8 @@ ORACLES = {
         UNION ALL
         (SELECT 'top5_stations', station_name, total, NULL, NULL, NULL FROM stations
          ORDER BY total DESC, station_name LIMIT 5)""",
-    "api_envelope": f"WITH {_ROWS} {_API_ROWS} WHERE l_linestatus <> 'F'",
+    "api_envelope": _API_DAYS,
+    "api_answer_files": _API_DAYS,
     "accepted_answers": """
         SELECT 'INFO-000' AS code, count(*) AS items FROM lineitem WHERE l_linestatus <> 'F'""",
     "daily_landing": f"WITH {_ROWS} {_API_ROWS}",

@@ -121,19 +121,29 @@ def ridership_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of the ridership service, one per sale.
+def envelopes(
+    spark: SparkSession, sf_dir: str, by: tuple[str, ...] = ("l_orderkey",)
+) -> DataFrame:
+    """Answers of the ridership service: the sales of an order, or of what ``by`` names.
 
-    Answers about finished lines report an error, so their rows must not be used.
+    Answers about finished lines report an error, so their rows must not be used; for
+    each nation there is an answer without rows.
     """
+    sales = table(spark, sf_dir, "lineitem")
     failed = F.col("l_linestatus") == "F"
     row = F.struct(
+        F.date_format("l_shipdate", "yyyyMMdd").alias("USE_YMD"),
         F.col("l_returnflag").alias("SBWY_ROUT_LN_NM"),
         F.col("l_suppkey").cast("string").alias("SBWY_STNS_NM"),
         F.col("l_quantity").cast("bigint").cast("string").alias("GTON_TNOPE"),
         F.col("l_linenumber").cast("string").alias("GTOFF_TNOPE"),
+        F.date_format("l_shipdate", "yyyyMMdd").alias("REG_YMD"),
+    )
+    answers = sales.groupBy(*by, "l_linestatus").agg(F.collect_list(row).alias("row"))
+    nobody = table(spark, sf_dir, "nation").select(F.lit("N").alias("l_linestatus"))
+    answers = answers.select("l_linestatus", "row").unionByName(
+        nobody.withColumn("row", F.array().cast(answers.schema["row"].dataType))
     )
-    answers = table(spark, sf_dir, "lineitem").select("l_linestatus", F.array(row).alias("row"))
     result = F.struct(
         F.when(failed, "ERROR-500").otherwise("INFO-000").alias("CODE"),
         F.when(failed, "server error").otherwise("ok").alias("MESSAGE"),
