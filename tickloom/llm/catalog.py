@@ -130,6 +130,49 @@ ORACLES: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
     """,
+    "op6_quotation_threads": r"""
+        WITH RECURSIVE m AS (
+          SELECT *, row_number() OVER () AS message,
+                 string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS lines
+          FROM conversations),
+        l AS (SELECT message, conv_id, turn, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM m),
+        p AS (SELECT *, regexp_extract(line, '^[ \t]*(?:>[ \t]?)+') AS marks FROM l),
+        b AS (SELECT *, length(marks) - length(replace(marks, '>', '')) AS level,
+                     lower(trim(regexp_replace(line[length(marks) + 1:], '[^\p{L}\p{N}]+', ' ', 'g'))) AS bare FROM p),
+        e AS (SELECT *, coalesce(CAST((level, level = 0 AND bare = '') <> lag((level, level = 0 AND bare = ''))
+                                 OVER (PARTITION BY message ORDER BY pos) AS INTEGER), 0) AS edge FROM b),
+        r AS (SELECT *, sum(edge) OVER (PARTITION BY message ORDER BY pos) AS run FROM e),
+        t AS (SELECT conv_id, turn, message, run, level,
+                     unnest(list_distinct(list_prepend(string_agg(bare, ' ' ORDER BY pos), list(bare)))) AS words
+              FROM r WHERE bare <> '' GROUP BY conv_id, turn, message, run, level),
+        f AS (SELECT conv_id, words, min(turn) AS origin FROM t WHERE level = 0 GROUP BY conv_id, words),
+        s AS (SELECT t.conv_id, t.turn, message, run, level, origin, sum(length(words)) AS letters
+              FROM t JOIN f USING (conv_id, words) WHERE level > 0 AND origin < t.turn GROUP BY ALL),
+        k AS (SELECT conv_id, turn, message, run, level, arg_max(origin, (letters, origin)) AS origin,
+                     max(letters) AS letters FROM s GROUP BY ALL),
+        g AS (SELECT conv_id, turn, level, origin, sum(letters) AS letters FROM k GROUP BY ALL),
+        a AS (SELECT conv_id, turn, arg_max(origin, (-level, letters, origin)) AS reply_to FROM g GROUP BY ALL),
+        c AS (SELECT conv_id, turn, reply_to AS top FROM a
+              UNION ALL SELECT c.conv_id, c.turn, a.reply_to FROM c JOIN a ON a.conv_id = c.conv_id AND a.turn = c.top),
+        h AS (SELECT conv_id, turn, min(top) AS top FROM c GROUP BY ALL),
+        q AS (SELECT message, CAST(count(*) FILTER (level > 0) AS INTEGER) AS n_quoted,
+                     CAST(max(level) AS INTEGER) AS quote_depth FROM b GROUP BY message),
+        o AS (SELECT message, line, pos, marks = '' AS own,
+                     regexp_matches(line, '^\s*(?:On|Am|Le|El)\b.*(?:wrote|schrieb|a écrit|escribió)\s*:\s*$')
+                     AND coalesce(lead(marks) OVER (PARTITION BY message ORDER BY pos), '') <> '' AS announced FROM p),
+        w AS (SELECT message, trim(regexp_replace(string_agg(line, chr(10) ORDER BY pos), '\n{3,}', chr(10) || chr(10), 'g'),
+                                   ' ' || chr(9) || chr(10)) AS reply_text
+              FROM o WHERE own AND NOT announced GROUP BY message),
+        z AS (SELECT m.conv_id, m.turn, role, text, coalesce(top, m.turn) AS thread, reply_to, n_quoted, quote_depth,
+                     coalesce(reply_text, '') AS reply_text
+              FROM m JOIN q USING (message) LEFT JOIN w USING (message)
+              LEFT JOIN a ON a.conv_id = m.conv_id AND a.turn = m.turn
+              LEFT JOIN h ON h.conv_id = m.conv_id AND h.turn = m.turn)
+        SELECT conv_id, turn, role, thread, reply_to, n_quoted, quote_depth, sha256(reply_text) AS reply_sha256,
+               row_number() OVER (PARTITION BY conv_id ORDER BY thread NULLS FIRST, turn NULLS FIRST,
+                                  role NULLS FIRST, reply_text, text NULLS FIRST) - 1 AS position
+        FROM z
+    """,
     "op9_ball_tree_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
                    FROM embeddings
