@@ -55,13 +55,11 @@ BEGINNING_VOTERS = PER_LEVEL * len(LEVELS)
 HELD_COUNTS = 400_000
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Pattern voters: shouting, words in capitals, masked words, addressing the reader.
-PATTERNS = (
-    (re.compile(r"!{2,}"), 0.002),
-    (re.compile(r"\b[^\W\d_a-z]{4,}\b"), 0.05),
-    (re.compile(r"[^\W\d_]+[*@#$%]{2,}[^\W\d_]*"), 0.002),
-    (re.compile(r"\b(?:you|your|you're|du|dein|toi|ton|tu|tus)\b", re.IGNORECASE), 0.02),
-)
+MASKED = re.compile(r"[*@#$%]{2,}")
+ADDRESS = frozenset("you your yours du dein deine toi ton ta tu tus tú usted".split())
+#: Pattern voters, with the share of words each votes from: shouting, words in capitals,
+#: masked words, addressing the reader.
+PATTERNS = {"shouts": 0.002, "capitals": 0.05, "masked": 0.002, "address": 0.02}
 AMOUNT_VOTERS = 3
 VOTERS = WORD_VOTERS + BEGINNING_VOTERS + AMOUNT_VOTERS + len(PATTERNS)
 LEXICON_VOTERS = WORD_VOTERS + BEGINNING_VOTERS
@@ -145,6 +143,7 @@ class Lexicon:
 
     words: dict[str, int] = field(default_factory=dict)
     beginnings: dict[str, dict[int, int]] = field(default_factory=dict)
+    starts: frozenset[str] = frozenset()
 
     @classmethod
     def of(cls, entries: list[str]) -> Lexicon:
@@ -156,36 +155,39 @@ class Lexicon:
             for i, begin in enumerate(begins):
                 voter = WORD_VOTERS + PER_LEVEL * at + i * PER_LEVEL // len(begins)
                 beginnings.setdefault(begin, {})[level] = voter
-        return cls({w: i * WORD_VOTERS // len(words) for i, w in enumerate(words)}, beginnings)
+        return cls({w: i * WORD_VOTERS // len(words) for i, w in enumerate(words)}, beginnings, frozenset(b[: BEGINNINGS[0]] for b in beginnings))
 
-    def hits(self, text: str) -> tuple[np.ndarray, int, int, int]:
-        """Hits of each lexicon voter, distinct words hit, hits in all, words in all."""
+    def features(self, text: str) -> tuple[np.ndarray, int]:
+        """Features of the classifier, and the votes as bits."""
         words = WORD.findall(text.lower())
-        per_voter = np.zeros(LEXICON_VOTERS)
-        own = set(words)
+        own, n = set(words), max(1, len(words))
+        per_voter = [0] * LEXICON_VOTERS
         hit = own & self.words.keys()
         for word in hit:
             per_voter[self.words[word]] += 1
-        begun: dict[str, set[str]] = {}
-        for n in BEGINNINGS if self.beginnings else ():
-            for word in own:
-                if word[:n] in self.beginnings and len(word) > n:
-                    begun.setdefault(word[:n], set()).add(word)
+        shortest = BEGINNINGS[0]
+        begun: dict[str, list[str]] = {}
+        for word in own:
+            if word[:shortest] in self.starts:
+                for size in BEGINNINGS:
+                    if len(word) > size and word[:size] in self.beginnings:
+                        begun.setdefault(word[:size], []).append(word)
         for begin, found in begun.items():
             for level, voter in self.beginnings[begin].items():
                 if len(found) >= level:
                     per_voter[voter] += len(found)
-                    hit |= found
-        return per_voter, len(hit), sum(map(words.count, hit)), len(words)
-
-    def features(self, text: str) -> tuple[np.ndarray, int]:
-        """Features of the classifier, and the votes as bits."""
-        per_voter, distinct, total, words = self.hits(text)
-        shares = [len(p.findall(text)) / max(1, words) for p, _ in PATTERNS]
-        votes = [*(per_voter > 0), distinct >= 2, total >= 4, total >= 0.01 * words > 0]
-        votes += [share >= least for share, (_, least) in zip(shares, PATTERNS)]
-        features = [*np.log1p(per_voter), np.log1p(distinct), np.log1p(total), 100 * total / max(1, words), *shares]
-        return np.array(features), sum(1 << i for i, vote in enumerate(votes) if vote)
+                    hit.update(found)
+        distinct, total = len(hit), sum(map(words.count, hit))
+        shares = [
+            text.count("!!") / n,
+            sum(map(str.isupper, text.split())) / n,
+            len(MASKED.findall(text)) / n,
+            sum(map(words.count, own & ADDRESS)) / n,
+        ]
+        votes = [*(x > 0 for x in per_voter), distinct >= 2, total >= 4, total > 0 and total >= 0.01 * n]
+        votes += [share >= least for share, least in zip(shares, PATTERNS.values())]
+        counts = np.log1p([*per_voter, distinct, total])
+        return np.array([*counts, 100 * total / n, *shares]), sum(1 << i for i, vote in enumerate(votes) if vote)
 
 
 # --- label model -------------------------------------------------------------------------
