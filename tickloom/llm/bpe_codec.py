@@ -33,7 +33,7 @@ from tickloom.llm.bpe_tables import MergeTable, category_class, merge_table
 
 TOKENIZER = "word_bpe_49k.json"
 # A process forgets the words it knows when they are more than this.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 
 # White space for str.split() that the pattern of the vocabulary counts as other letters.
 NOT_SPACE = re.compile(r"[\x1c-\x1f]")
@@ -194,7 +194,7 @@ class WordCodec:
         return self.numbers.join(ids)
 
 
-def runs(texts: list[str], letters: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def runs(texts: list[str], letters: int = 500_000) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs of about so many letters."""
     begin = size = 0
     for i, text in enumerate(texts):
