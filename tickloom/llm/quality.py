@@ -73,7 +73,8 @@ def text_features(text: str) -> list[float]:
         max(0.0, 1 - len(own) / n**0.85),
         min(1.0, n / 20),
     ]
-    sizes = [len(text) / n, n / m, letters, n]
+    # No length of the whole text: good documents are short and long.
+    sizes = [len(text) / n, n / m]
     return [math.sqrt(max(0.0, x)) for x in shares] + [math.log1p(x) for x in sizes]
 
 
