@@ -20,7 +20,7 @@ def toxic_text(seed):
 
 
 def junk_text(seed):
-    return " ".join(f"{w}{'#$%&'[i % 4] * 3}" for i, w in enumerate(prose(seed, 60).split()))
+    return " ".join(f"{w}{'#$%&'[i % 4] * 3}" for i, w in enumerate(prose(seed, 30 + 7 * seed % 120).split()))
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def labelled(spark):
     rows = []
     for i in range(450):
         kind = i % 9
-        text = toxic_text(i) if kind == 0 else junk_text(i) if kind == 1 else prose(i, 60)
+        text = toxic_text(i) if kind == 0 else junk_text(i) if kind == 1 else prose(i, 30 + 7 * i % 120)
         rows.append((i, text, "en", f"src{i % 5}", len(text), int(kind != 1), int(kind == 0)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, quality int, toxic int")
     return df.drop("quality", "toxic").cache(), df.select("doc_id", "quality", "toxic").cache()

@@ -12,7 +12,7 @@ COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigin
 def folder(spark, tmp_path_factory):
     """Good, junk and toxic documents, copies, near copies and leaked passages."""
     path = str(tmp_path_factory.mktemp("corpus"))
-    made = [(i, toxic_text(i) if i % 9 == 0 else junk_text(i) if i % 9 == 1 else prose(i, 60)) for i in range(300)]
+    made = [(i, toxic_text(i) if i % 9 == 0 else junk_text(i) if i % 9 == 1 else prose(i, 30 + 7 * i % 120)) for i in range(300)]
     long = prose(9000, 120).split()
     leak = prose(9100, 30)
     made += [(1000, " ".join(long)), (1001, " ".join(long)), (1002, " ".join([*long[:60], "other", *long[61:]]))]
