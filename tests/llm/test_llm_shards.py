@@ -1,8 +1,11 @@
+import zlib
 from collections import Counter
 
 import numpy as np
 from messy import documents, no_documents
+from pyspark.sql import functions as F
 
+from tickloom.llm import shards as shards_module
 from tickloom.llm.shards import draw_counts, exact_shuffle, hypergeometric, permuted, placed_texts, write_shards
 
 
@@ -60,3 +63,24 @@ def test_files_are_in_order(spark, tmp_path):
     write_shards(spark.range(50), str(tmp_path / "s"), shards=3)
     read = spark.read.parquet(str(tmp_path / "s"))
     assert read.count() == 50 and read.select("shard").distinct().count() == 3
+
+
+def test_the_texts_themselves_are_shuffled(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(shards_module, "exact_shuffle", lambda df, *rest: given.append(df) or exact_shuffle(df, *rest))
+    docs = spark.createDataFrame([(i, f"text {i}", "en") for i in range(30)], "doc_id bigint, text string, lang string")
+    rows = placed_texts(docs, shards=3).collect()
+    assert given[0].columns == docs.columns
+    assert {r.doc_id: r.text_crc32 for r in rows} == {i: zlib.crc32(f"text {i}".encode()) for i in range(30)}
+
+
+def test_long_rows_make_small_blocks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame([(i, "x" * 1000) for i in range(64)], "i int, text string")
+        put = exact_shuffle(df, shards=1, block_bytes=5000).withColumn("task", F.spark_partition_id()).collect()
+        assert len({r.task for r in put}) > 1 and sorted(r.slot for r in put) == list(range(64))
+        # Four rows in a block, all of them in one task.
+        assert all(len({r.task for r in put if r.slot // 4 == k}) == 1 for k in range(16))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -17,13 +17,14 @@ called like a result (``shard``, ``slot``) are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tickloom.llm.frames import free_name, utf8_bytes, whole
 from tickloom.workspace import settle
@@ -32,8 +33,9 @@ SHARDS = 24
 SEED = 20240
 # Partitions whose counts one task draws.
 GROUP = 256
-# Rows of a shard that are exchanged to one task.
+# Rows of a shard that are exchanged to one task, and the bytes they have on average.
 BLOCK_ROWS = 50_000
+BLOCK_BYTES = 32 << 20
 
 
 def hypergeometric(random: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -126,16 +128,40 @@ def communication_matrix(counts: DataFrame, pid: str, rows: str, shards: int, se
     return both.applyInPandas(of_group, "member int, quotas array<bigint>, before array<bigint>"), quotas
 
 
-def exact_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row has."""
+    sizes = [F.lit(8).cast("bigint")]
+    for field in df.schema:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(F.col(quoted(field.name))), F.lit(0)))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.col(quoted(field.name)).cast("string")), F.lit(0)))
+        else:
+            sizes.append(F.lit(8))
+    return reduce(Column.__add__, sizes)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def exact_shuffle(
+    df: DataFrame, shards: int = SHARDS, seed: int = SEED, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Add ``shard`` and ``slot``: a uniform shuffle into shards whose sizes differ by one
     row at most, with slots from 0 without gaps. Rows come grouped by shard and block of
-    slots, in order."""
+    slots, in order. A block has ``block_rows`` rows, or fewer where rows are long: since
+    the shuffle is uniform, blocks of as many rows have about as many bytes."""
     df = df.drop("shard", "slot")
     pid, index = free_name(df, "input_partition"), free_name(df, "input_row")
     # Both halves of this number are fixed once the table is written.
     low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     numbered = settle(df.withColumns({pid: F.spark_partition_id(), index: low}), "shuffle")
-    counts = numbered.groupBy(pid).agg(F.count(F.lit(1)).alias("rows"))
+    counts = numbered.groupBy(pid).agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes"))
+    counts = settle(counts, "counts")
+    held = counts.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).first()
+    if held["rows"]:
+        block_rows = max(1, min(block_rows, block_bytes * held["rows"] // held["bytes"]))
     matrix, quotas = communication_matrix(counts, pid, "rows", shards, seed)
     member, own, before, place = (free_name(df, x) for x in ("member", "quotas", "before", "place"))
     dealt = numbered.join(settle(matrix, "matrix").toDF(member, own, before), F.col(pid) == F.col(member))
@@ -165,16 +191,17 @@ def write_shards(df: DataFrame, path: str, shards: int = SHARDS, seed: int = SEE
     exact_shuffle(df, shards, seed).write.partitionBy("shard").parquet(path)
 
 
-def text_facts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def text_facts(key: str = "doc_id", text: str = "text") -> list[Column]:
     """Key, size (bytes of the text and 8 more) and CRC-32 of the text of each row."""
     crc = F.crc32(whole(text).cast("binary"))
-    return docs.select(key, (utf8_bytes(text) + 8).alias("size"), crc.alias("text_crc32"))
+    return [F.col(key), (utf8_bytes(text) + 8).alias("size"), crc.alias("text_crc32")]
 
 
 def placed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
-    """Where each document goes, by the law of equal counts, without moving the texts."""
-    put = exact_shuffle(text_facts(docs, key, text), shards)
+    """Where each document goes, by the law of equal counts: the documents are shuffled,
+    and what is told about a text is taken from the shuffled rows."""
+    put = exact_shuffle(docs, shards)
     return put.select(
-        key, "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        *text_facts(key, text), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
