@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.catalog import reports
 from tickloom.operators import ridership as rid
 from tickloom.plans.ridership import (
     land_ridership,
@@ -14,6 +15,7 @@ from tickloom.plans.ridership import (
 )
 from tickloom.sinks.files import land_json
 from tickloom.sinks.reports import write_report, write_report_document
+from tickloom.sources.envelope import read_envelopes
 from tickloom.sources.paths import daily_paths
 
 ROWS = [
@@ -188,3 +190,25 @@ def test_only_errors_land_nothing(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(answer("ERROR-300", [])))
     assert land_ridership(spark, str(tmp_path), "2024-03-08", str(tmp_path / "out")) is None
     assert not (tmp_path / "out").exists()
+
+
+def test_answer_files_of_a_hot_supplier_are_bounded(spark, tmp_path, monkeypatch):
+    supplier = F.when(F.col("id") < 5000, 1).when(F.col("id") >= 5003, F.col("id") % 9)
+    sales = spark.range(6000).select(
+        F.col("id").alias("l_orderkey"),
+        F.lit(1).alias("l_linenumber"),
+        (F.col("id") % 7).alias("l_partkey"),
+        supplier.alias("l_suppkey"),
+        F.lit("O").alias("l_linestatus"),
+        F.lit("A").alias("l_returnflag"),
+        F.lit(3.0).alias("l_quantity"),
+        F.lit(datetime(2024, 3, 8)).alias("l_shipdate"),
+    )
+    sales.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(2).write.parquet(f"{tmp_path}/nation.parquet")
+    read = []
+    monkeypatch.setattr(reports, "read_envelopes", lambda *a: read.append(read_envelopes(*a)) or read[0])
+    rows = reports.QUERIES["api_answer_files"](spark, str(tmp_path))
+    sizes = [r[0] for r in read[0].select(F.size("CardSubwayStatsNew.row")).collect()]
+    assert sum(sizes) == 6000 and max(sizes) <= 1000 and len(sizes) < 40
+    assert rows.count() == 6000 and rows.filter("SBWY_STNS_NM IS NULL").count() == 3

@@ -13,6 +13,8 @@ from tickloom.sources.paths import daily_paths
 from tickloom.workspace import fresh_path, settle
 
 RUN_DATE = "2024-03-08"
+# Rows the service sends in an answer at most.
+MOST_ROWS = 1000
 
 
 def _report_lines(spark, sf_dir):
@@ -46,10 +48,11 @@ def _api_envelope(spark, sf_dir):
 
 
 def _answer_files(spark, sf_dir):
-    """Each answer a file of its own, as the service sends them: the sales of a supplier,
-    some hundred rows at any scale."""
+    """Each answer a file of its own, as the service sends them: sales of a supplier, at
+    most ``MOST_ROWS`` of them."""
     path = fresh_path(spark, "answers")
-    answers = envelopes(spark, sf_dir, by=("l_suppkey",)).withColumn("n", F.monotonically_increasing_id())
+    answers = envelopes(spark, sf_dir, by=("l_suppkey",), most=MOST_ROWS)
+    answers = answers.withColumn("n", F.monotonically_increasing_id())
     answers.repartition("n").write.partitionBy("n").text(path)
     return rid.with_counters(envelope_rows(read_envelopes(spark, path)).drop("n"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import wide_key
 from tickloom.sinks.kafka import encode_json
+from tickloom.workspace import settle
 
 # Orders the ticks of a ticker and day.
 TICK_ORDER = {"order_by": ("sequence",), "unique_order": True}
@@ -121,15 +122,32 @@ def ridership_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _pieces(sales: DataFrame, by: list[str], most: int) -> DataFrame:
+    """Sales with a ``piece`` of their group: a group has pieces enough that each has
+    about half of ``most`` rows. A piece is chosen by the keys of a row."""
+    sizes = sales.groupBy(*by).agg(F.ceil(2 * F.count(F.lit(1)) / most).alias("pieces"))
+    sizes = settle(sizes, "sizes").withColumnsRenamed({name: f"of_{name}" for name in by})
+    same = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in by]
+    keys = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return sales.join(sizes, same).withColumn("piece", F.pmod(keys, "pieces"))
+
+
 def envelopes(
-    spark: SparkSession, sf_dir: str, by: tuple[str, ...] = ("l_orderkey",)
+    spark: SparkSession,
+    sf_dir: str,
+    by: tuple[str, ...] = ("l_orderkey",),
+    most: int | None = None,
 ) -> DataFrame:
-    """Answers of the ridership service: the sales of an order, or of what ``by`` names.
+    """Answers of the ridership service: the sales of an order, or of what ``by`` names,
+    in several answers where they are more than ``most``.
 
     Answers about finished lines report an error, so their rows must not be used; for
     each nation there is an answer without rows.
     """
     sales = table(spark, sf_dir, "lineitem")
+    group = [*by, "l_linestatus"]
+    if most is not None:
+        sales, group = _pieces(sales, group, most), [*group, "piece"]
     failed = F.col("l_linestatus") == "F"
     row = F.struct(
         F.date_format("l_shipdate", "yyyyMMdd").alias("USE_YMD"),
@@ -139,7 +157,7 @@ def envelopes(
         F.col("l_linenumber").cast("string").alias("GTOFF_TNOPE"),
         F.date_format("l_shipdate", "yyyyMMdd").alias("REG_YMD"),
     )
-    answers = sales.groupBy(*by, "l_linestatus").agg(F.collect_list(row).alias("row"))
+    answers = sales.groupBy(*group).agg(F.collect_list(row).alias("row"))
     nobody = table(spark, sf_dir, "nation").select(F.lit("N").alias("l_linestatus"))
     answers = answers.select("l_linestatus", "row").unionByName(
         nobody.withColumn("row", F.array().cast(answers.schema["row"].dataType))
