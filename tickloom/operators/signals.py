@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions import flag
@@ -22,21 +22,23 @@ def _crosses(upper: str, lower: str, above: str, below: str) -> dict[str, Column
     }
 
 
-def _with_previous(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({f"prev_{name}": previous(name) for name in columns})
+def _with_previous(df: DataFrame, series: WindowSpec | None, *columns: str) -> DataFrame:
+    return df.withColumns({f"prev_{name}": previous(name, series) for name in columns})
 
 
-def ma_crossovers(df: DataFrame, params: IndicatorParams = DEFAULT) -> DataFrame:
+def ma_crossovers(
+    df: DataFrame, params: IndicatorParams = DEFAULT, series: WindowSpec | None = None
+) -> DataFrame:
     """``golden_cross`` and ``death_cross`` of the short and long average."""
     short, long = params.short_column, params.long_column
-    return _with_previous(df, short, long).withColumns(
+    return _with_previous(df, series, short, long).withColumns(
         _crosses(short, long, "golden_cross", "death_cross")
     )
 
 
-def macd_crossovers(df: DataFrame) -> DataFrame:
+def macd_crossovers(df: DataFrame, series: WindowSpec | None = None) -> DataFrame:
     """``macd_bullish_cross`` and ``macd_bearish_cross`` of MACD and its signal."""
-    return _with_previous(df, "macd", "macd_signal").withColumns(
+    return _with_previous(df, series, "macd", "macd_signal").withColumns(
         _crosses("macd", "macd_signal", "macd_bullish_cross", "macd_bearish_cross")
     )
 
@@ -51,11 +53,13 @@ def rsi_flags(df: DataFrame, params: IndicatorParams = DEFAULT) -> DataFrame:
     )
 
 
-def detect_crossovers(df: DataFrame, params: IndicatorParams = DEFAULT) -> DataFrame:
+def detect_crossovers(
+    df: DataFrame, params: IndicatorParams = DEFAULT, series: WindowSpec | None = None
+) -> DataFrame:
     return (
-        df.transform(ma_crossovers, params)
+        df.transform(ma_crossovers, params, series)
         .transform(rsi_flags, params)
-        .transform(macd_crossovers)
+        .transform(macd_crossovers, series)
     )
 
 
@@ -73,9 +77,9 @@ def trend(df: DataFrame) -> DataFrame:
     return df.withColumn("trend", _direction("close", "ma_50", "ma_200"))
 
 
-def price_patterns(df: DataFrame) -> DataFrame:
+def price_patterns(df: DataFrame, series: WindowSpec | None = None) -> DataFrame:
     """Ten-day range and trend."""
-    return df.transform(price_range, 10).transform(trend)
+    return df.transform(price_range, 10, series).transform(trend)
 
 
 def _first_set(*signals: tuple[str, str]) -> Column:
