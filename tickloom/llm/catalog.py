@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.archives import archived_pages
 from tickloom.llm.bpe_codec import bpe_round_trip
+from tickloom.llm.centroids import centroid_clusters
 from tickloom.llm.decontaminate import find_passages
 from tickloom.llm.frames import table, utf8_bytes
 from tickloom.llm.learning import fold_of
@@ -82,6 +83,10 @@ def op10_exact_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed_texts(table(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_arc_to_warc": op2_arc_to_warc,
@@ -93,6 +98,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_exact_shuffle": op10_exact_shuffle,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 _WORDS = (
@@ -100,7 +106,41 @@ _WORDS = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+
+def _centroid_rounds(rounds: int = 10) -> str:
+    """Rounds of assignment and means written out one after the other. Distances are sums
+    of whole numbers below 2**53, exact as doubles."""
+    squares = "list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c)"
+    steps = [
+        """k AS MATERIALIZED (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+          FROM embeddings
+          WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """c_0 AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS n, v AS c
+          FROM k ORDER BY sha256('3:' || vec_id) LIMIT 8)""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a_{i} AS MATERIALIZED (
+          SELECT vec_id, v, min(row({squares}, n)) AS near FROM k, c_{i} GROUP BY vec_id, v)""")
+        if i < rounds:
+            steps.append(f"""c_{i + 1} AS MATERIALIZED (
+              SELECT n, coalesce(m, c) AS c FROM c_{i} LEFT JOIN (
+                SELECT n, list(floor(total / size) ORDER BY pos) AS m FROM (
+                  SELECT near[2] AS n, pos, sum(x) AS total, count(*) AS size
+                  FROM (SELECT near, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a_{i}) GROUP BY ALL)
+                GROUP BY n) USING (n))""")
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, CAST(n AS INTEGER) AS cluster, CAST(near[1] AS BIGINT) AS distance,
+               CAST(sum(near[1]) OVER (PARTITION BY n) AS BIGINT) AS cluster_inertia,
+               CAST(sum(near[1]) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+        FROM a_{rounds} JOIN c_{rounds} ON n = near[2]"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_centroid_clusters": _centroid_rounds(),
     "op2_arc_to_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
