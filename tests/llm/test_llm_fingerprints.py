@@ -1,0 +1,168 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from messy import documents, no_documents, prose
+from pyspark.sql import functions as F
+
+from tickloom.llm import fingerprints as fp
+from tickloom.llm.set_links import links_across, prefix_groups, set_bytes
+from tickloom.llm.shingles import mixed
+
+
+def plain_signature(text, registers=fp.REGISTERS, seed=fp.SEED):
+    """One shingle and one hash function after the other."""
+    a, b = fp.hash_functions(registers, seed)
+    values = [int(mixed(np.array([v], np.uint64))[0]) >> 32 for v in fp.text_shingles([text]).value]
+    return [
+        (min(((int(a[i]) * x + int(b[i])) % 2**64 for x in values), default=2**64 - 1) >> 32) & 0xFFFF for i in range(registers)
+    ]
+
+
+def shingle_set(text):
+    return set(fp.text_shingles([text]).value.tolist())
+
+
+def jaccard(left, right):
+    a, b = shingle_set(left), shingle_set(right)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_signatures_equal_a_plain_recomputation():
+    texts = ["", prose(1), "one two", "!!! ???", prose(2, 400), "a" * 50]
+    found = fp.signatures(fp.text_shingles(texts), len(texts))
+    for text, row in zip(texts, found):
+        assert row.tolist() == plain_signature(text)
+    assert set(found[0].tolist()) == {0xFFFF}
+
+
+def test_likeness_estimates_the_similarity():
+    base = prose(1, 2000).split()
+    errors = []
+    for share in (0.0, 0.01, 0.03, 0.1, 0.3):
+        other = [w if random.Random(i).random() >= share else f"w{i}" for i, w in enumerate(base)]
+        left, right = fp._signed([" ".join(base), " ".join(other)], 5, 128, 12)
+        errors.append(abs(float((left == right).mean()) - jaccard(" ".join(base), " ".join(other))))
+    assert max(errors) < 0.13 and errors[0] == 0
+
+
+def expected(rows):
+    """By a plain sort. Ties of the id go by a hash that only Spark has: none here."""
+    order = sorted(rows, key=lambda r: -r[0])
+    result = {}
+    for i, (key, text) in enumerate(order):
+        own, following = text or "", order[(i + 1) % len(order)][1] or ""
+        made = fp.edited(own, following)
+        sign = [np.array(plain_signature(x)) for x in (own, made, following)]
+        result[key] = (
+            key, len(own), hashlib.sha256(made.encode()).hexdigest(), fp.hexed(sign[0][None])[0], fp.hexed(sign[1][None])[0],
+            float((sign[0] == sign[1]).mean()), float((sign[0] == sign[2]).mean()),
+        )
+    return result
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_equals_a_plain_sort(spark, parts):
+    texts = [prose(i, 5 + i) for i in range(40)] + [None, "", "!!!", "ümläut ñandú 漢字 😀", prose(3, 8), "x" * 4001]
+    rows = [(i * 7 - 50, t) for i, t in enumerate(texts)]
+    random.Random(1).shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+    found = fp.edited_fingerprints(frame)
+    assert {r.doc_id: tuple(r) for r in found.collect()} == expected(rows)
+
+
+def test_edited_text():
+    assert fp.edited("abcdef", "XYZUVW") == "abcXYZ" and fp.edited("abcde", "X") == "abcX"
+    assert fp.edited("", "abc") == "" and fp.edited("ab", "") == "a" and fp.edited("😀é", "漢字") == "😀漢"
+
+
+def test_messy_documents(spark):
+    docs = documents(spark, extra=True)
+    rows = fp.edited_fingerprints(docs).collect()
+    assert len(rows) == docs.count()
+    by_text = {}
+    for text, print_ in fp.fingerprints(docs.select("text")).collect():
+        by_text.setdefault(text or "", set()).add(print_)
+    assert all(len(x) == 1 for x in by_text.values()) and len({next(iter(x)) for x in by_text.values()}) >= len(by_text) - 2
+    assert fp.edited_fingerprints(no_documents(spark)).collect() == []
+    one = spark.createDataFrame([(1, "a b c d e f")], "doc_id bigint, text string")
+    (row,) = fp.edited_fingerprints(one).collect()
+    assert row.near_next == 1.0 and row.edited_sha256 == hashlib.sha256(b"a b c a b c"[:11]).hexdigest() or row.n_chars == 11
+
+
+def test_text_ids_and_null_ids(spark):
+    rows = [("b", "one two three four five"), ("a", "six seven eight nine ten"), (None, "none " * 9)]
+    found = {r.doc_id: r for r in fp.edited_fingerprints(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    # Falling: b, a, then the one without an id, whose next is b.
+    assert found["b"].edited_sha256 == hashlib.sha256(fp.edited(rows[0][1], rows[1][1]).encode()).hexdigest()
+    assert found["a"].edited_sha256 == hashlib.sha256(fp.edited(rows[1][1], rows[2][1]).encode()).hexdigest()
+    assert found[None].edited_sha256 == hashlib.sha256(fp.edited(rows[2][1], rows[0][1]).encode()).hexdigest()
+
+
+def variants(seed, count, words=120, changes=4):
+    rng, base = random.Random(seed), prose(seed, words).split()
+    for _ in range(count):
+        own = list(base)
+        for _ in range(rng.randint(0, changes)):
+            own[rng.randrange(words)] = f"n{rng.randint(0, 9999)}"
+        yield " ".join(own)
+
+
+def classes_of(texts, similarity=0.8):
+    sets = [shingle_set(x) for x in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return dict(enumerate(root))
+
+
+def test_classes_equal_all_pairs(spark):
+    shared = prose(99, 200)
+    texts = [t for s in range(6) for t in variants(s, 12, changes=6)] + [None, "", "!!!", "one", "one"]
+    texts += [f"{shared} {prose(500 + i, 100)}" for i in range(25)]  # a common passage, none alike
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: r.class_id for r in fp.near_classes(frame).collect()}
+    assert found == classes_of([t or "" for t in texts])
+
+
+def test_classes_of_messy_documents(spark):
+    found = fp.near_classes(documents(spark, extra=True)).collect()
+    assert len(found) == documents(spark).count() and fp.near_classes(no_documents(spark)).collect() == []
+
+
+def test_prefixes_find_all_links_of_a_large_bucket(spark):
+    """Thousands of texts that share half of their words, in hundreds of components."""
+    rng = random.Random(3)
+    common = rng.sample(range(10**6), 60)
+    sets = []
+    for i in range(2400):
+        own = random.Random(i // 6).sample(range(10**6, 10**9), 60)
+        own[i % 6] = 2 * 10**9 + i
+        sets.append(np.unique(np.array(common + own, np.uint32)))
+    rows = [(i, i, bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "node bigint, root bigint, shingles binary")
+    groups = prefix_groups(frame, 0.8)
+    sizes = [r.n for r in groups.select("bucket", "n").distinct().collect()]
+    assert max(sizes) <= 6  # not the 2,400 texts that share the common part
+    found = links_across(groups.join(frame.drop("root"), "node"), 0.8).collect()
+    assert {frozenset((r.a, r.b)) for r in found if r.a // 6 != r.b // 6} == set()
+    linked = {n for r in found for n in (r.a, r.b)}
+    assert linked == set(range(2400))
+
+
+def test_sets_are_sorted_and_distinct():
+    found = fp.text_shingles(["a b c d e f a b c d e f", ""])
+    first, second = set_bytes(found, 2)
+    assert second == b"" and sorted(set(np.frombuffer(first, np.uint32))) == list(np.frombuffer(first, np.uint32))
+
+
+def test_columns(spark):
+    found = fp.edited_fingerprints(spark.range(3).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")))
+    assert dict(found.dtypes) == {
+        "doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string",
+        "edited_fingerprint": "string", "near_edited": "double", "near_next": "double",
+    }

@@ -9,6 +9,7 @@ from tickloom.llm.archives import archived_pages
 from tickloom.llm.bpe_codec import bpe_round_trip
 from tickloom.llm.centroids import centroid_clusters
 from tickloom.llm.decontaminate import find_passages
+from tickloom.llm.fingerprints import edited_fingerprints
 from tickloom.llm.frames import table, utf8_bytes
 from tickloom.llm.learning import fold_of
 from tickloom.llm.near_dup import near_duplicate_classes
@@ -83,6 +84,10 @@ def op10_exact_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed_texts(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters(table(spark, sf_dir, "embeddings"))
 
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_exact_shuffle": op10_exact_shuffle,
+    "op12_fingerprints": op12_fingerprints,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
 
