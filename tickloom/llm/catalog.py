@@ -15,6 +15,7 @@ from tickloom.llm.learning import fold_of
 from tickloom.llm.near_dup import near_duplicate_classes
 from tickloom.llm.quality import GOOD, fit_quality, score_quality
 from tickloom.llm.quotations import reply_ordered
+from tickloom.llm.repair import damaged, repair_report
 from tickloom.llm.shards import placed_texts
 from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.toxicity import FOLDS, HELD_OUT, THRESHOLD, fit_toxicity, score_toxicity
@@ -84,6 +85,11 @@ def op10_exact_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(conversations), conversations)
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -103,6 +109,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_exact_shuffle": op10_exact_shuffle,
+    "op11_structure_repair": op11_structure_repair,
     "op12_fingerprints": op12_fingerprints,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
@@ -145,7 +152,78 @@ def _centroid_rounds(rounds: int = 10) -> str:
         FROM a_{rounds} JOIN c_{rounds} ON n = near[2]"""
 
 
+# A step reads a message after up to two insertions; more never pay. States: 0 at the
+# beginning, 1 after a system, 2 after a user, 3 after an assistant message.
+_INSERTED = """
+    SELECT key, i,
+           CASE n WHEN 0 THEN s WHEN 1 THEN [2, 2, 3, 2][s + 1] ELSE [3, 3, 2, 3][s + 1] END AS s,
+           cost + 5 * n AS cost, audit || repeat('I', n) AS audit,
+           body || CASE WHEN n > 0 THEN chr(10) || ['user', 'user', 'assistant', 'user'][s + 1] || ':' ELSE '' END
+                || CASE WHEN n > 1 THEN chr(10) || ['assistant', 'assistant', 'user', 'assistant'][s + 1] || ':' ELSE '' END AS body
+    FROM path, (VALUES (0), (1), (2)) v(n)"""
+
 ORACLES: dict[str, str] = {
+    "op11_structure_repair": rf"""
+        WITH RECURSIVE t AS (
+          SELECT list(c ORDER BY i) AS codes FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                     CASE WHEN (c & 1) = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+            FROM range(256) r(i))),
+        d AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(
+                     string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                     lambda x: CAST(ascii(x) AS BIGINT))),
+                   lambda c, b: xor(c >> 8, codes[1 + (xor(c, b) & 255)]))) % 20 AS kind
+          FROM conversations, t),
+        m AS (
+          SELECT coalesce('=' || conv_id, 'none') AS key, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                 CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+          FROM d WHERE kind <> 0),
+        o AS (
+          SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                 row_number() OVER (PARTITION BY key, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+          FROM m),
+        r AS (
+          SELECT *, substr(role, 1, 1) AS letter,
+                 CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+                 substr(lag(role) OVER (PARTITION BY key ORDER BY i), 1, 1) || substr(role, 1, 1) AS pair
+          FROM o),
+        c AS (
+          SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+                 count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                 count(*) FILTER (fault = 'truncated') AS truncated,
+                 count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM r GROUP BY key),
+        path AS (
+          SELECT key, 0 AS i, 0 AS s, 0 AS cost, '' AS audit, '' AS body FROM c
+          UNION ALL
+          SELECT key, CAST(i AS INTEGER), CAST(s AS INTEGER), CAST(best[1] AS INTEGER), best[2], best[3] FROM (
+            SELECT key, i, s, min(row(cost, audit, body)) AS best FROM (
+              SELECT p.key, p.i + 1 AS i, p.audit || edit AS audit,
+                     p.cost + CASE edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+                            + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+                     CASE edit WHEN 'D' THEN p.s WHEN 'R' THEN [2, 2, 3, 2][p.s + 1]
+                               ELSE CASE WHEN p.s = 0 AND letter = 's' THEN 1 WHEN p.s <> 2 AND letter = 'u' THEN 2
+                                         WHEN p.s = 2 AND letter = 'a' THEN 3 END END AS s,
+                     p.body || CASE edit WHEN 'D' THEN '' ELSE chr(10) || CASE edit WHEN 'K' THEN role
+                               ELSE ['user', 'user', 'assistant', 'user'][p.s + 1] END || ':' || text END AS body
+              FROM ({_INSERTED}) p JOIN r ON r.key = p.key AND r.i = p.i + 1, (VALUES ('K'), ('R'), ('D')) e(edit)
+              WHERE edit = 'D' OR fault NOT IN ('blank', 'duplicate'))
+            WHERE s IS NOT NULL GROUP BY key, i, s)),
+        z AS (
+          SELECT key, min(row(cost, audit, body)) AS best
+          FROM ({_INSERTED}) JOIN c USING (key) WHERE i = c.n AND s IN (0, 3) GROUP BY key)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(coalesce(best[1], 0) AS BIGINT) AS cost, coalesce(best[2], '') AS audit,
+               sha256(coalesce(substr(best[3], 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations)
+        LEFT JOIN c ON c.key = coalesce('=' || conv_id, 'none') LEFT JOIN z USING (key)
+    """,
     "op13_centroid_clusters": _centroid_rounds(),
     "op2_arc_to_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
