@@ -8,6 +8,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.workspace import settle
+
 
 def _between(df: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:
     # Bounds take the type of the column, so that the comparison reaches the scan.
@@ -68,3 +70,17 @@ def only_tickers(df: DataFrame, tickers: Sequence[str] | str | None) -> DataFram
     if isinstance(tickers, str):
         tickers = tickers.split(",")
     return df.filter(F.col("ticker").isin(list(tickers)))
+
+
+def listed_tickers(df: DataFrame, tickers: DataFrame, column: str = "ticker") -> DataFrame:
+    """Rows of the tickers listed in the table ``tickers``, of any length, each row once.
+
+    A semi join with the list written once, whose size Spark then knows: it broadcasts a
+    short list and shuffles a long one. Where ``df`` is stored in a folder per ticker
+    (:func:`tickloom.sinks.ticks.write_by_ticker`), a short list also prunes the scan while
+    the query runs: folders of other tickers are not read.
+    """
+    listed = settle(tickers.select(F.col(column).alias("_wanted")).distinct(), "listed")
+    # The condition tells Spark that the list selects, without which it never prunes.
+    wanted = listed.filter(F.length("_wanted") > 0)
+    return df.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")
