@@ -25,19 +25,24 @@ def write_ticker_documents(
     documents.select("document").write.mode("overwrite").text(path)
 
 
-def _lines_and_moment(rows: DataFrame, generated_at: datetime | None) -> tuple[DataFrame, str]:
+def _lines_and_moment(usage: DataFrame, generated_at: datetime | None) -> tuple[DataFrame, str]:
     # One pass over the rows; every section reads its small result.
-    lines = report_lines(settle(usage_by_line_and_station(rows), "usage"))
+    lines = report_lines(settle(usage, "usage"))
     return lines, f"{generated_at or datetime.now():%Y-%m-%d %H:%M:%S}"
 
 
 def write_report(rows: DataFrame, path: str, generated_at: datetime | None = None) -> None:
     """Write the ridership report as JSON lines in order, over any number of stations."""
-    entries = report_entries(*_lines_and_moment(rows, generated_at))
+    write_usage_report(usage_by_line_and_station(rows), path, generated_at)
+
+
+def write_usage_report(usage: DataFrame, path: str, generated_at: datetime | None = None) -> None:
+    """The same from figures by line and station."""
+    entries = report_entries(*_lines_and_moment(usage, generated_at))
     entries.write.mode("overwrite").text(path)
 
 
 def write_report_document(rows: DataFrame, path: str, generated_at: datetime | None = None) -> None:
     """Write the ridership report as a single JSON document, which one task puts together."""
-    document = report_document(*_lines_and_moment(rows, generated_at))
+    document = report_document(*_lines_and_moment(usage_by_line_and_station(rows), generated_at))
     document.write.mode("overwrite").text(path)
