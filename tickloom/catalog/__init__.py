@@ -1,8 +1,8 @@
 """The operators as queries over the test tables, with SQL to compare them with."""
 
-from tickloom.catalog import events, files, market, models, reports, streams, text
+from tickloom.catalog import events, files, history, market, models, reports, streams, text
 
-_PARTS = (market, reports, events, text, files, models, streams)
+_PARTS = (market, reports, events, text, files, models, streams, history)
 
 
 def all_queries() -> dict:

@@ -382,6 +382,18 @@ averages AS (
   FROM flags
 )"""
 
+
+
+def analysis_of(order: str) -> str:
+    """The analysis of ``bars`` with rows of a ticker in another order than by date."""
+    return _ANALYSIS.replace("ORDER BY date", f"ORDER BY {order}")
+
+
+def tick_rows_sql() -> str:
+    """Ticks in the place of bars."""
+    return f"{_TICKS}, bars AS (SELECT *, price AS close FROM ticks)"
+
+
 _LATEST = "WHERE (ticker, date) IN (SELECT (ticker, max(date)) FROM bars GROUP BY ticker)"
 
 _SUMMARY = f"""

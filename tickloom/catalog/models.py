@@ -156,7 +156,7 @@ QUERIES = {
 _KEYS = "l_orderkey, l_linenumber, l_partkey"
 
 
-def _split_of(*keys: str) -> str:
+def split_sql(*keys: str) -> str:
     text = " || '|' || ".join(f"CAST({key} AS VARCHAR)" for key in keys)
     # Four fifths of the range of eight hex digits.
     return f"if(md5({text}) < 'cccccccc', 'train', 'test')"
@@ -193,7 +193,7 @@ def _least_squares() -> str:
         *("l_quantity", "l_discount", "l_tax"),
     ]
     columns = ", ".join(f"{feature} AS x{i}" for i, feature in enumerate(features))
-    split = _split_of("l_orderkey", "l_linenumber", "l_partkey")
+    split = split_sql("l_orderkey", "l_linenumber", "l_partkey")
     steps = [
         f"""rows_0 AS (
           SELECT {_KEYS}, l_extendedprice AS price, {split} AS split, {columns},
@@ -224,14 +224,14 @@ ORACLES = {
     "price_model_formula": _least_squares(),
     "random_split": f"SELECT {_KEYS} FROM lineitem",
     "hash_split": f"""
-        SELECT {_KEYS}, {_split_of("l_orderkey", "l_linenumber", "l_partkey")} AS split
+        SELECT {_KEYS}, {split_sql("l_orderkey", "l_linenumber", "l_partkey")} AS split
         FROM lineitem""",
     "feature_vector": f"SELECT {_KEYS}, l_quantity AS feature, l_extendedprice AS price FROM lineitem",
     "simple_regression": _LINE,
     "simple_regression_aggregate": _LINE,
     "line_predictions": f"""
         WITH rows AS (
-          SELECT *, {_split_of("l_orderkey", "l_linenumber", "l_partkey")} AS split FROM lineitem
+          SELECT *, {split_sql("l_orderkey", "l_linenumber", "l_partkey")} AS split FROM lineitem
         ), line AS (
           SELECT regr_slope(l_extendedprice, l_quantity) AS m,
                  regr_intercept(l_extendedprice, l_quantity) AS b
@@ -242,7 +242,7 @@ ORACLES = {
     "price_model_fit": f"""
         WITH train AS (
           SELECT * FROM lineitem
-          WHERE {_split_of("l_orderkey", "l_linenumber", "l_partkey")} = 'train'
+          WHERE {split_sql("l_orderkey", "l_linenumber", "l_partkey")} = 'train'
         ), factors AS (
           SELECT l_extendedprice AS price,
                  unnest(['bedrooms', 'bathrooms', 'number_of_reviews']) AS name,
