@@ -39,6 +39,21 @@ def test_random_split_keeps_every_row(listings):
     assert train.exceptAll(listings).isEmpty()
 
 
+def test_random_split_follows_its_weights_and_seed(spark):
+    df = spark.range(20_000).repartition(4)
+    ids = lambda part: {r.id for r in part.collect()}
+    train, test = map(ids, ml.random_split(df))
+    assert not train & test and len(train | test) == 20_000
+    # Four standard deviations around the share.
+    assert abs(len(train) - 16_000) < 4 * (20_000 * 0.8 * 0.2) ** 0.5
+    assert tuple(map(ids, ml.random_split(df))) == (train, test)
+    other, _ = map(ids, ml.random_split(df, seed=7))
+    # Independent of the first: a row is in both with the product of the shares.
+    assert abs(len(train & other) - 12_800) < 4 * (20_000 * 0.64 * 0.36) ** 0.5
+    half, _ = map(ids, ml.random_split(df, (1, 1)))
+    assert abs(len(half) - 10_000) < 4 * (20_000 * 0.25) ** 0.5
+
+
 def test_hash_split_does_not_depend_on_partitions(spark):
     df = spark.range(5000)
     splits = {

@@ -186,6 +186,17 @@ def test_land_and_report(spark, tmp_path):
     assert (first["name"], first["total"]) == ("1호선", 320)
 
 
+def test_files_of_one_answer_and_of_many_read_alike(spark, tmp_path):
+    answers = [answer("INFO-000", ROWS[i:]) for i in range(3)]
+    for folder in ("one", "many"):
+        (tmp_path / folder).mkdir()
+    for i, one in enumerate(answers):
+        (tmp_path / "one" / f"{i}.json").write_text(json.dumps(one, indent=1), encoding="utf-8")
+    (tmp_path / "many" / "all.json").write_text("\n".join(map(json.dumps, answers)), encoding="utf-8")
+    read = [read_envelopes(spark, str(tmp_path / f), f == "one").collect() for f in ("one", "many")]
+    assert sorted(map(repr, read[0])) == sorted(map(repr, read[1])) and len(read[0]) == 3
+
+
 def test_only_errors_land_nothing(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(answer("ERROR-300", [])))
     assert land_ridership(spark, str(tmp_path), "2024-03-08", str(tmp_path / "out")) is None

@@ -48,13 +48,12 @@ def _api_envelope(spark, sf_dir):
 
 
 def _answer_files(spark, sf_dir):
-    """Each answer a file of its own, as the service sends them: sales of a supplier, at
-    most ``MOST_ROWS`` of them."""
+    """Answers as the service bounds them: sales of a supplier, at most ``MOST_ROWS`` of
+    them. A file holds many answers, one to a line, so that files do not grow in number
+    with the answers; files of one answer each are read by the same reader."""
     path = fresh_path(spark, "answers")
-    answers = envelopes(spark, sf_dir, by=("l_suppkey",), most=MOST_ROWS)
-    answers = answers.withColumn("n", F.monotonically_increasing_id())
-    answers.repartition("n").write.partitionBy("n").text(path)
-    return rid.with_counters(envelope_rows(read_envelopes(spark, path)).drop("n"))
+    envelopes(spark, sf_dir, by=("l_suppkey",), most=MOST_ROWS).write.text(path)
+    return rid.with_counters(envelope_rows(read_envelopes(spark, path, False)))
 
 
 def _accepted_answers(spark, sf_dir):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import wide_key
+from tickloom.operators.series import AT, in_blocks, in_order
 from tickloom.sinks.kafka import encode_json
 from tickloom.workspace import settle
 
@@ -123,13 +124,10 @@ def ridership_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pieces(sales: DataFrame, by: list[str], most: int) -> DataFrame:
-    """Sales with a ``piece`` of their group: a group has pieces enough that each has
-    about half of ``most`` rows. A piece is chosen by the keys of a row."""
-    sizes = sales.groupBy(*by).agg(F.ceil(2 * F.count(F.lit(1)) / most).alias("pieces"))
-    sizes = settle(sizes, "sizes").withColumnsRenamed({name: f"of_{name}" for name in by})
-    same = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in by]
-    keys = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return sales.join(sizes, same).withColumn("piece", F.pmod(keys, "pieces"))
+    """Sales with a ``piece`` of their group, ``most`` rows in each and the rest in the last:
+    rows are numbered within their group by a sort, none of which comes together."""
+    ordered = in_order(sales, by, ["l_orderkey", "l_linenumber", "l_partkey"])
+    return in_blocks(ordered, by, most, block="piece").drop(AT, "_number")
 
 
 def envelopes(

@@ -19,7 +19,7 @@ def random_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Seeded random split. It depends on how the rows are spread over partitions and
     sorts each of them by all columns; :func:`hash_split` needs neither."""
-    return tuple(df.randomSplit(list(weights), seed=seed))
+    return tuple(df.randomSplit([float(w) for w in weights], seed=seed))
 
 
 def _in_first(percent: int, keys: Sequence[str]) -> Column:
