@@ -88,3 +88,16 @@ def test_columns_of_ids_and_text(spark, library):
 
 def test_no_documents(spark):
     assert bpe_round_trip(no_documents(spark), key="doc_id").collect() == []
+
+
+def all_code_points():
+    """Texts that hold every code point between letters, 64 in a text."""
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    return ["".join(f"ab{chr(c)}cd {chr(c)}9 " for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+
+
+def test_letters_and_digits_are_those_of_the_library(library):
+    given = all_code_points()
+    expected = [x.ids for x in library.encode_batch(given, add_special_tokens=False)]
+    wrong = [i for i, ids in enumerate(WordCodec(merge_table(PATH)).encode(given)) if ids.tolist() != expected[i]]
+    assert wrong == []

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import public_tokenizers
 from messy import documents, no_documents, texts
+from test_llm_bpe import all_code_points
 from tokenizers import Tokenizer
 
 from tickloom.llm.bpe_tables import merge_table
@@ -56,3 +57,36 @@ def test_messy_documents(spark):
         for row in got:
             assert row.n_tokens == len(library.encode(row.text or "", add_special_tokens=False).ids)
     assert count_tokens(no_documents(spark)).collect() == []
+
+
+def test_letters_and_digits_are_those_of_the_library():
+    given = all_code_points()
+    expected = [len(x.ids) for x in Tokenizer.from_file(PATH).encode_batch(given, add_special_tokens=False)]
+    assert TokenCounter(merge_table(PATH)).counts(given) == expected
+
+
+def test_long_words_in_chunks_equal_the_library():
+    library = Tokenizer.from_file(PATH)
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdeéü") for _ in range(n)) for n in (257, 1000, 20_000)]
+    words += ["ab" * 3000, "a" * 5001, "".join(rng.choice(["tion", "ing", "the", "er"]) for _ in range(4000)), "漢字" * 700]
+    expected = [len(library.encode(w, add_special_tokens=False).ids) for w in words]
+    for states in (150_000, 300):
+        transducer = CountTransducer(merge_table(PATH), known_states=states)
+        assert [transducer.count(w.encode()) for w in words] == expected
+        for chunk in (7, 100):
+            assert [transducer.count_long(w.encode(), chunk) for w in words] == expected
+
+
+def test_states_are_bounded_within_a_word():
+    rng = random.Random(10)
+    transducer = CountTransducer(merge_table(PATH), known_states=5_000)
+    most, read = [0], transducer.read
+
+    def watched(state, part):
+        most[0] = max(most[0], len(transducer.states))
+        return read(state, part)
+
+    transducer.read = watched
+    transducer.count("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60_000)).encode())
+    assert 5_000 < most[0] < 5_000 + 2 * 256

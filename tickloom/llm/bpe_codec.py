@@ -28,8 +28,10 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.normalizers import NFC, Lowercase, Sequence
 
-from tickloom.llm.bpe_tables import MergeTable, category_class, merge_table
+from tickloom.llm.bpe_tables import MergeTable, category_class, merge_table, unknown_to_python
+from tickloom.llm.workers import handed_back, one_table, stretches
 
 TOKENIZER = "word_bpe_49k.json"
 # A process forgets the words it knows when they are more than this.
@@ -47,6 +49,12 @@ def word_pattern() -> re.Pattern:
     return re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{letters}]+|[{digits}]|(?:[\x1c-\x1f]|[^\s{letters}{digits}])+")
 
 
+@lru_cache(maxsize=1)
+def newer_letters() -> tuple[re.Pattern, Sequence]:
+    """What Python's tables do not know, and how the library composes and lowers letters."""
+    return re.compile(f"[{unknown_to_python()}]"), Sequence([NFC(), Lowercase()])
+
+
 def gather(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of ``values`` at ``begins``, one after another."""
     before = np.cumsum(sizes) - sizes
@@ -104,9 +112,11 @@ class WordCodec:
 
     @staticmethod
     def _plain_pieces(text: str) -> list[str]:
-        text = unicodedata.normalize("NFC", text)
+        newer, library = newer_letters()
+        if not text.isascii() and newer.search(text):
+            text = library.normalize_str(text)
         # Lower case letter by letter: no final form of sigma.
-        text = text.replace("Σ", "σ").lower()
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return SPACED.findall(text) if NOT_SPACE.search(text) else text.split()
 
     def propose(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,7 +216,7 @@ def runs(texts: list[str], letters: int = 500_000) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-@lru_cache(maxsize=2)
+@one_table
 def codec(path: str) -> WordCodec:
     return WordCodec(merge_table(path))
 
@@ -246,15 +256,16 @@ def bpe_round_trip(df: DataFrame, key: str, text: str = "text", tokenizer: str |
     rows = df.select(F.col(key), F.col(text).alias(f"{key}_text"))
     kind = f"`{key}` {df.schema[key].dataType.simpleString()}"
 
+    @handed_back
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = codec(path)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
             counts, of_ids, of_text = [], [], []
-            for ids in words.encode(texts):
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(words.spelled(ids)).hexdigest())
-                of_text.append(hashlib.sha256(words.decode(ids)).hexdigest())
+            for _, texts in stretches(batch.column(1)):
+                for ids in words.encode(texts):
+                    counts.append(len(ids))
+                    of_ids.append(hashlib.sha256(words.spelled(ids)).hexdigest())
+                    of_text.append(hashlib.sha256(words.decode(ids)).hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 

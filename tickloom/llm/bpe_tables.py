@@ -9,6 +9,8 @@ from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
+from tokenizers import Regex
+from tokenizers.pre_tokenizers import Split
 
 NEVER = np.iinfo(np.int32).max
 #: Ends a word, in vocabularies whose last symbol of a word carries a suffix.
@@ -26,12 +28,34 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
+#: Letters and digits lie in the first planes.
+PLANES = 0x40000
+
+
+@lru_cache(maxsize=2)
+def category_ranges(initial: str) -> list[tuple[int, int]]:
+    """First and last of each run of code points whose general category begins so, as the
+    tokenizers library has them: its tables of Unicode are not those of Python."""
+    points = [*range(0xD800), *range(0xE000, PLANES)]
+    found = Split(Regex(f"\\p{{{initial}}}+"), "removed", invert=True).pre_tokenize_str("".join(map(chr, points)))
+    return [(points[a], points[b - 1]) for _, (a, b) in found]
+
+
+def _class(ranges: list[tuple[int, int]]) -> str:
+    return "".join(f"\\U{first:08x}-\\U{last:08x}" for first, last in ranges)
+
+
 @lru_cache(maxsize=2)
 def category_class(initial: str) -> str:
     """The letters whose general category begins so, as ranges of a regular expression."""
-    numbers = (i for i in range(0x110000) if unicodedata.category(chr(i))[0] == initial)
+    return _class(category_ranges(initial))
+
+
+def unknown_to_python() -> str:
+    """Code points without a place in Python's tables, as ranges of a regular expression."""
+    numbers = (i for i in range(PLANES) if unicodedata.category(chr(i)) == "Cn")
     runs = ([n for _, n in run] for _, run in groupby(enumerate(numbers), lambda x: x[1] - x[0]))
-    return "".join(f"\\U{run[0]:08x}-\\U{run[-1]:08x}" for run in runs)
+    return _class([(run[0], run[-1]) for run in runs])
 
 
 class MergeTable:
@@ -206,7 +230,6 @@ class MergeTable:
         return result
 
 
-@lru_cache(maxsize=4)
 def merge_table(path: str) -> MergeTable:
-    """The table of a file, read once in each process."""
+    """The table of a file."""
     return MergeTable(path)

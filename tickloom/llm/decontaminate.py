@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.frames import free_name
+from tickloom.llm.workers import hand_back, one_table, stretches
 from tickloom.workspace import settle
 
 WINDOW = 10
@@ -163,7 +163,7 @@ def word_bounds(same_length: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray
     return number[edges[:, 0]], number[edges[:, 1]]
 
 
-@lru_cache(maxsize=1)
+@one_table
 def _scanner(windows: Broadcast) -> Scanner:
     return Scanner(windows.value)
 
@@ -194,8 +194,12 @@ def _scan_udf(windows: Broadcast):
     @F.arrow_udf(FOUND_SQL)
     def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
         scanner = _scanner(windows)
-        pairs = zip(texts.to_pylist(), before.to_pylist())
-        return pa.array([scanner.scan(x or b"", y) for x, y in pairs], FOUND)
+        parts = []
+        for first, some in stretches(texts):
+            known = before.slice(first, len(some)).to_pylist()
+            parts.append(pa.array([scanner.scan(x, y) for x, y in zip(some, known)], FOUND))
+        hand_back()
+        return pa.concat_arrays(parts) if parts else pa.array([], FOUND)
 
     return scan
 

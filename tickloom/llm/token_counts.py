@@ -9,7 +9,9 @@ Two deterministic transducers do the work:
 * one over bytes reads what lies between two cuts. A transition carries how many tokens
   the encoding grows by, and a state holds all that later bytes can ask for: the longest
   ending that may be the begin of a token and, for each place in it, the last token before
-  and the count there. States are compiled when first met and forgotten when too many.
+  and the count there. States are compiled when first met and forgotten when too many,
+  also within a word. A long word is cut into chunks, whose maps, of the state after them
+  and the growth of the count, are composed by a prefix scan as well.
 
 Nothing is shuffled; a task holds one Arrow batch and tables of bounded size.
 
@@ -21,7 +23,7 @@ empty table gives an empty one. A column called like the result is replaced.
 from __future__ import annotations
 
 import re
-import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -32,12 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe_codec import runs
-from tickloom.llm.bpe_tables import NEVER, MergeTable, merge_table
+from tickloom.llm.bpe_tables import NEVER, MergeTable, category_ranges, merge_table
+from tickloom.llm.workers import hand_back, one_table, stretches
 
 TOKENIZER = "byte_bpe_50k.json"
 CHUNK = 128
 KNOWN_WORDS = 400_000
 KNOWN_STATES = 150_000
+# Longer words are counted in chunks of so many bytes, so many chunks at a time; a state is
+# guessed from the bytes before a chunk; so many maps of chunks are remembered.
+LONG_WORD, CHUNKS_AT_ONCE, WARM_UP, KNOWN_CHUNKS = 256, 1_024, 64, 4_096
 
 # Classes of letters. Letters that contractions are made of have their own.
 SPACE, WHITE, LETTER, NUMBER, OTHER, QUOTE, STMD, R, V, E, L, END = range(12)
@@ -100,14 +106,10 @@ CUTS = np.array([[x[1] for x in row] for row in _TABLE], np.uint8).ravel()
 def letter_classes() -> np.ndarray:
     """The class of each code point."""
     classes = np.full(0x110000, OTHER, np.uint8)
-    for i in range(0x110000):
-        kind = unicodedata.category(chr(i))[0]
-        if kind == "L":
-            classes[i] = LETTER
-        elif kind == "N":
-            classes[i] = NUMBER
-        elif chr(i).isspace() and not 0x1C <= i <= 0x1F:
-            classes[i] = WHITE
+    for initial, kind in (("L", LETTER), ("N", NUMBER)):
+        for first, last in category_ranges(initial):
+            classes[first : last + 1] = kind
+    classes[[i for i in range(0x10000) if chr(i).isspace() and not 0x1C <= i <= 0x1F]] = WHITE
     for letters, kind in ((" ", SPACE), ("'", QUOTE), ("stmd", STMD), ("r", R), ("v", V), ("e", E), ("l", L)):
         for letter in letters:
             classes[ord(letter)] = kind
@@ -145,6 +147,10 @@ def cut_places(classes: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     return np.flatnonzero(marked)
 
 
+#: The state at the beginning of a word.
+START = ("", (-1,), (0,))
+
+
 class CountTransducer:
     """Counts the BPE tokens of a word while reading its bytes once."""
 
@@ -159,9 +165,8 @@ class CountTransducer:
     def forget(self) -> None:
         # A state: the ending, the last token at each place of it (-1: none), the counts
         # there less the count at its end.
-        start = ("", (-1,), (0,))
-        self.states = [start]
-        self.numbers = {start: 0}
+        self.states = [START]
+        self.numbers = {START: 0}
         self.moves: dict[int, int] = {}
         self.fitting: dict[tuple[int, int], bool] = {}
 
@@ -209,20 +214,70 @@ class CountTransducer:
         move = self.moves[number << 8 | ord(letter)] = follows << 16 | grown + 32768
         return move
 
-    def count(self, word: bytes) -> int:
+    def read(self, state: tuple, part: bytes) -> tuple[tuple, int]:
+        """The map of a chunk at one state: the state after it, and the count's growth."""
         if len(self.states) > self.limit:
             self.forget()
-        state = total = 0
+        if (number := self.numbers.get(state)) is None:
+            number = self.numbers[state] = len(self.states)
+            self.states.append(state)
+        total = 0
         find = self.moves.get
-        for byte in word:
-            move = find(state << 8 | byte)
+        for byte in part:
+            move = find(number << 8 | byte)
             if move is None:
-                move = self.compile(state, chr(byte))
-            state = move >> 16
+                move = self.compile(number, chr(byte))
+            number = move >> 16
             total += (move & 0xFFFF) - 32768
+        return self.states[number], total
+
+    def count(self, word: bytes) -> int:
+        return self.read(START, word)[1] if len(word) <= LONG_WORD else self.count_long(word)
+
+    def count_long(self, word: bytes, chunk: int = LONG_WORD) -> int:
+        """The count of a word of any length, chunk by chunk.
+
+        Each chunk has a map: from the state it is entered in to the state after it and the
+        count's growth. What a state holds depends on the last bytes, so a chunk is first
+        read from the state that the bytes before it lead to from the start. The maps are
+        then composed by a scan; a chunk that turns out to be entered in another state is
+        read again from there. Equal chunks entered in equal states are read once.
+        """
+        known: dict[tuple[tuple, bytes], tuple[tuple, int]] = {}
+
+        def mapped(state: tuple, part: bytes) -> tuple[tuple, int]:
+            if (found := known.get((state, part))) is None:
+                if len(known) > KNOWN_CHUNKS:
+                    known.clear()
+                found = known[state, part] = self.read(state, part)
+            return found
+
+        total, state, stretch = 0, START, chunk * CHUNKS_AT_ONCE
+        for first in range(0, len(word), stretch):
+            parts = [word[i : i + chunk] for i in range(first, min(len(word), first + stretch), chunk)]
+            entries = [state, *(mapped(START, part[-WARM_UP:])[0] for part in parts[:-1])]
+            maps = [(entry, *mapped(entry, part)) for entry, part in zip(entries, parts)]
+            _, state, grown = composed(maps, lambda at, entry, parts=parts: mapped(entry, parts[at]))[-1]
+            total += grown
         return total
 
 
+def composed(
+    maps: list[tuple[tuple, tuple, int]], again: Callable[[int, tuple], tuple[tuple, int]]
+) -> list[tuple[tuple, tuple, int]]:
+    """An inclusive prefix scan of (entry, exit, count) of chunks: two maps that meet compose
+    to one over both. Where a chunk was read from another state than the one before ends in,
+    it is read again first."""
+    found, step = list(maps), 1
+    for i in range(1, len(found)):
+        if found[i][0] != found[i - 1][1]:
+            found[i] = (found[i - 1][1], *again(i, found[i - 1][1]))
+    while step < len(found):
+        found = found[:step] + [(a[0], b[1], a[2] + b[2]) for a, b in zip(found, found[step:])]
+        step *= 2
+    return found
+
+
 class TokenCounter:
     """Token counts of whole texts, for one vocabulary file in one process."""
 
@@ -274,13 +329,15 @@ class TokenCounter:
         result = np.array(counts, np.int64)
         for i in np.flatnonzero(result < 0).tolist():
             word = words[i]
-            if word not in self.known:
-                self.known[word] = self.transducer.count(word)
-            result[i] = self.known[word]
+            if (count := find(word)) is None:
+                count = self.transducer.count(word)
+                if len(word) <= LONG_WORD:
+                    self.known[word] = count
+            result[i] = count
         return result
 
 
-@lru_cache(maxsize=2)
+@one_table
 def counter(path: str) -> TokenCounter:
     return TokenCounter(merge_table(path))
 
@@ -291,6 +348,9 @@ def count_tokens(df: DataFrame, text: str = "text", result: str = "n_tokens", to
 
     @F.arrow_udf("bigint")
     def counted(texts: pa.Array) -> pa.Array:
-        return pa.array(counter(path).counts([x or "" for x in texts.to_pylist()]), pa.int64())
+        count = counter(path).counts
+        found = [n for _, part in stretches(texts) for n in count(part)]
+        hand_back()
+        return pa.array(found, pa.int64())
 
     return df.withColumn(result, counted(F.col(text)))

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.learning import Logistic, fit_logistic, fold_of, label_sample
+from tickloom.llm.workers import begin, hand_back, handed_back, stretches
 from tickloom.workspace import settle
 
 FOLDS, HELD_OUT = 3, 1
@@ -45,7 +46,6 @@ THRESHOLD = 0.7
 # What an entry of the lexicon needs: toxic documents, different words before it, and how
 # many standard deviations it is beyond its share by chance.
 LEAST_DOCUMENTS, LEAST_CONTEXTS, LEAST_DEVIATION, LEAST_SHARE = 3, 4, 4.0, 0.6
-ENTRIES = 3_000
 BEGINNINGS = (4, 5, 6)
 # Beginnings count where so many different words of a document begin so.
 LEVELS = (1, 2, 3)
@@ -93,26 +93,33 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic.clear(), clean.clear(), before.clear()
         return batch
 
-    for batch in batches:
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = WORD.findall((text or "").lower())
-            own = set(words)
-            begun = Counter(w[:n] for w in own for n in BEGINNINGS if len(w) > n)
-            entries_of = {b: [f"{b}*{level}" for level in LEVELS if n >= level] for b, n in begun.items()}
-            entries = own.union(*entries_of.values())
-            if label:
-                toxic.update(entries)
-                for previous, word in zip(["", *words], words):
-                    mark = xxhash.xxh32_intdigest(previous)
-                    before.add((word, mark))
-                    for n in BEGINNINGS:
-                        if len(word) > n:
-                            before.update((entry, mark) for entry in entries_of[word[:n]])
-            else:
-                clean.update(entries)
-            if len(toxic) + len(clean) + len(before) > HELD_COUNTS:
-                yield flush()
+    begin("toxicity")
+    for text, label in _rows(batches):
+        words = WORD.findall(text.lower())
+        own = set(words)
+        begun = Counter(w[:n] for w in own for n in BEGINNINGS if len(w) > n)
+        entries_of = {b: [f"{b}*{level}" for level in LEVELS if n >= level] for b, n in begun.items()}
+        entries = own.union(*entries_of.values())
+        if label:
+            toxic.update(entries)
+            for previous, word in zip(["", *words], words):
+                mark = xxhash.xxh32_intdigest(previous)
+                before.add((word, mark))
+                for n in BEGINNINGS:
+                    if len(word) > n:
+                        before.update((entry, mark) for entry in entries_of[word[:n]])
+        else:
+            clean.update(entries)
+        if len(toxic) + len(clean) + len(before) > HELD_COUNTS:
+            yield flush()
     yield flush()
+    hand_back()
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bool]]:
+    for batch in batches:
+        for at, some in stretches(batch.column(0)):
+            yield from zip(some, batch.column(1).slice(at, len(some)).to_pylist())
 
 
 def mine_lexicon(labelled: DataFrame, text: str, label: str) -> list[str]:
@@ -133,7 +140,8 @@ def mine_lexicon(labelled: DataFrame, text: str, label: str) -> list[str]:
         & (deviation >= LEAST_DEVIATION)
         & (F.col("toxic") >= LEAST_SHARE * (F.col("toxic") + F.col("clean")))
     )
-    best = kept.orderBy(F.desc(deviation), "entry").limit(ENTRIES)
+    # As many as are significant: the labelled rows, which are bounded, bound them.
+    best = kept.orderBy(F.desc(deviation), "entry")
     return [row["entry"] for row in best.select("entry").collect()]
 
 
@@ -267,9 +275,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     if not lexicon.words and not lexicon.beginnings:
         return ToxicityModel()
 
+    @handed_back
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         for batch in batches:
-            found = [lexicon.features(x or "") for x in batch.column(0).to_pylist()]
+            found = [lexicon.features(x) for _, some in stretches(batch.column(0)) for x in some]
             columns = [pa.array([v for _, v in found], pa.int64()), pa.array([x.tolist() for x, _ in found], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["votes", "x"])
 
@@ -290,6 +300,9 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", resu
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(model.scores([x or "" for x in texts.to_pylist()]), pa.float64())
+        begin("toxicity")
+        found = [score for _, some in stretches(texts) for score in model.scores(some)]
+        hand_back()
+        return pa.array(found, pa.float64())
 
     return df.withColumn(result, scored(F.col(text)))
