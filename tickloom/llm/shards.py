@@ -33,9 +33,11 @@ SHARDS = 24
 SEED = 20240
 # Partitions whose counts one task draws.
 GROUP = 256
-# Rows of a shard that are exchanged to one task, and the bytes they have on average.
+# Rows of a shard that are exchanged to one task, the bytes they have on average, and how
+# many such tasks there are at most; beyond, blocks get larger.
 BLOCK_ROWS = 50_000
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+MOST_BLOCKS = 200_000
 
 
 def hypergeometric(random: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -150,7 +152,7 @@ def exact_shuffle(
 ) -> DataFrame:
     """Add ``shard`` and ``slot``: a uniform shuffle into shards whose sizes differ by one
     row at most, with slots from 0 without gaps. Rows come grouped by shard and block of
-    slots, in order. A block has ``block_rows`` rows, or fewer where rows are long: since
+    slots, in order, each block in a task of its own. A block has ``block_rows`` rows, or fewer where rows are long: since
     the shuffle is uniform, blocks of as many rows have about as many bytes."""
     df = df.drop("shard", "slot")
     pid, index = free_name(df, "input_partition"), free_name(df, "input_row")
@@ -162,6 +164,7 @@ def exact_shuffle(
     held = counts.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).first()
     if held["rows"]:
         block_rows = max(1, min(block_rows, block_bytes * held["rows"] // held["bytes"]))
+        block_rows = max(block_rows, held["rows"] // MOST_BLOCKS)
     matrix, quotas = communication_matrix(counts, pid, "rows", shards, seed)
     member, own, before, place = (free_name(df, x) for x in ("member", "quotas", "before", "place"))
     dealt = numbered.join(settle(matrix, "matrix").toDF(member, own, before), F.col(pid) == F.col(member))
@@ -182,8 +185,9 @@ def exact_shuffle(
 
     put = dealt.withColumn(place, placed(F.col(pid), F.col(index), F.col(own), F.col(before)))
     put = put.select(*df.columns, F.col(place)["shard"].alias("shard"), F.col(place)["slot"].alias("slot"))
-    block = F.floor(F.col("slot") / block_rows)
-    return put.repartition("shard", block).sortWithinPartitions("shard", "slot")
+    blocks = max(1, -(-max(quotas) // block_rows))
+    block = F.col("shard") * blocks + F.floor(F.col("slot") / block_rows).cast("int")
+    return put.repartitionById(shards * blocks, block).sortWithinPartitions("shard", "slot")
 
 
 def write_shards(df: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> None:
