@@ -5,6 +5,7 @@ import pytest
 from messy import documents, no_documents, prose, texts
 from pyspark.sql import functions as F
 
+from tickloom.llm import quality
 from tickloom.llm.learning import fit_logistic, fold_of, label_sample
 from tickloom.llm.quality import fit_quality, score_quality, text_features
 from tickloom.llm.toxicity import VOTERS, Lexicon, fit_label_model, fit_toxicity, learns, score_toxicity
@@ -125,3 +126,118 @@ def test_without_labels_or_documents(spark, labelled):
     empty = no_documents(spark)
     assert score_toxicity(empty, fit_toxicity(empty, labels)).collect() == []
     assert score_quality(empty, fit_quality(empty, labels)).collect() == []
+
+
+def words_from(seed, letters, n):
+    rng = random.Random(seed)
+    vocabulary = ["".join(random.Random(f"{letters}{i}").choice(letters) for _ in range(5)) for i in range(60)]
+    return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def by_content(spark):
+    """Good and bad documents that differ in their words alone."""
+    rows = [(i, words_from(i, "abcdefghij" if i % 3 else "klmnopqrst", 40 + i % 50), "en", f"src{i % 4}", 300, int(i % 3 > 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, quality int")
+    return df.drop("quality").cache(), df.select("doc_id", "quality").cache()
+
+
+def test_content_tells_what_the_surface_does_not(by_content):
+    docs, labels = by_content
+    seen = labels.filter(fold_of("doc_id", 3) != 1)
+    held = score_quality(docs, fit_quality(docs, seen)).join(labels, "doc_id").filter(fold_of("doc_id", 3) == 1).collect()
+    assert len(held) > 100 and all((r.quality_score >= 0.5) == (r.quality == 1) for r in held)
+
+
+def test_content_equals_a_plain_count(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LEAST_DEVIATION", 1.0)
+    rng = random.Random(6)
+    rows = [(" ".join(rng.choice("a b c d e f".split()) for _ in range(rng.randint(0, 9))), float(rng.randint(0, 1)), rng.randint(0, 1)) for _ in range(80)]
+    content = quality.learn_content(spark.createDataFrame(rows, "text string, label double, half int").repartition(3))
+    for size, shift in ((1, 0), (2, 1 << quality.CONTENT_BITS)):
+        slots_of = lambda text, size=size: set(quality.content_slots([text], size)[1].tolist())
+        for judged, counted in ((0, 1), (1, 0)):
+            own = [(slots_of(t), y) for t, y, half in rows if half == counted]
+            n = [sum(y == k for _, y in own) + 1 for k in (0, 1)]
+            for slot in set().union(*(s for s, _ in own)):
+                share = [n[k] / sum(n) for k in (0, 1)]
+                bad, good = (sum(slot in s and y == k for s, y in own) for k in (0, 1))
+                chance = abs(good - (good + bad) * share[1]) < ((good + bad) * share[0] * share[1]) ** 0.5
+                odds = np.log((good + share[1]) / (bad + share[0]) * share[0] / share[1])
+                assert abs(content.odds[judged, shift + slot] - (0 if chance else odds)) < 1e-5
+    assert (content.odds != 0).any()
+    assert np.abs(content.odds[2] - content.odds[:2].mean(axis=0)).max() < 1e-6
+    (words, pairs), nothing = content.features(["a b a", ""], np.array([2, 2]))
+    (_, own), (_, both) = quality.content_slots(["a b a"], 1), quality.content_slots(["a b a"], 2)
+    assert abs(words - content.odds[2, own].mean()) < 1e-5 and nothing.tolist() == [0, 0]
+    assert abs(pairs - content.odds[2, (1 << quality.CONTENT_BITS) + both].mean()) < 1e-5
+
+
+def plain_logistic(x, y, w, ridge, steps=200):
+    """Newton's method to the end, on columns of one scale."""
+    mean, spread = np.average(x, axis=0, weights=w), np.sqrt(np.average((x - np.average(x, axis=0, weights=w)) ** 2, axis=0, weights=w))
+    scale = np.where(spread > 1e-9, 1 / np.maximum(spread, 1e-9), 0)
+    z, beta = np.column_stack([(x - mean) * scale, np.ones(len(x))]), np.zeros(x.shape[1] + 1)
+    penalty = np.append(np.full(x.shape[1], ridge), 1e-9)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+        bend = (z.T @ (z * (w * p * (1 - p))[:, None])) / w.sum() + np.diag(penalty + 1e-9)
+        step = np.linalg.solve(bend, z.T @ (w * (p - y)) / w.sum() + penalty * beta)
+        beta -= step * min(1.0, 4 / max(1e-9, np.abs(step).max()))
+    weights = beta[:-1] * scale
+    return lambda rows: rows @ weights + beta[-1] - weights @ mean
+
+
+def test_co_training_equals_a_plain_recomputation(spark, labelled):
+    docs, labels = labelled
+    # Half of the documents have no label, and the source tells something, so both views teach.
+    docs = docs.join(labels, "doc_id").withColumn("source", F.when(F.col("quality") == 0, "srcbad").otherwise(F.col("source"))).select(*docs.columns)
+    seen = labels.filter("doc_id % 2 = 0")
+    kept = []
+    settle = quality.settle
+
+    def watched(df, name):
+        table = settle(df, name)
+        if name == "quality":
+            kept.append(table)
+        return table
+
+    quality.settle = watched
+    try:
+        model = fit_quality(docs, seen)
+    finally:
+        quality.settle = settle
+    rows = kept[0].collect()
+    text, meta = (np.array([r[x] for r in rows]) for x in ("text_x", "meta_x"))
+    label = np.array([np.nan if r.label is None else r.label for r in rows])
+    held = np.array([r.held for r in rows])
+    teach = ~np.isnan(label) & ~held
+    fit = lambda x, more: plain_logistic(
+        np.concatenate([x[teach], x[more[0]]]), np.concatenate([label[teach], more[1]]),
+        np.concatenate([np.ones(teach.sum()), np.full(len(more[1]), quality.SURE_WEIGHT)]), 5e-3,
+    )
+    nobody = (np.zeros(0, int), np.zeros(0))
+    by_text, by_meta = fit(text, nobody), fit(meta, nobody)
+    for _ in range(quality.ROUNDS):
+        sure = []
+        for odds in (by_meta(meta), by_text(text)):
+            p = 1 / (1 + np.exp(-odds))
+            which = np.flatnonzero(np.isnan(label) & ((p >= quality.SURE) | (p <= 1 - quality.SURE)))
+            sure.append((which, (p[which] >= 0.5).astype(float)))
+        by_text, by_meta = fit(text, sure[0]), fit(meta, sure[1])
+    # The classifiers tell the same of every document, before calibration.
+    for calibrated, plain, x in ((model.text, by_text, text), (model.metadata, by_meta, meta)):
+        own = x @ np.array(calibrated.classifier.weights) + calibrated.classifier.bias
+        p, q = (1 / (1 + np.exp(-np.clip(o, -30, 30))) for o in (own, plain(x)))
+        assert np.abs(p - q).max() < 0.05
+
+
+def test_the_label_model_equals_plain_em():
+    """Row by row, without patterns and their counts."""
+    rng = np.random.default_rng(5)
+    truth = rng.random(1500) < 0.2
+    votes = (rng.random((1500, VOTERS)) < np.where(truth[:, None], 0.6, 0.05)).astype(int)
+    patterns, which, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    grouped, single = fit_label_model(patterns, n), fit_label_model(votes, np.ones(1500))
+    assert np.abs(grouped.posterior(patterns)[which.ravel()] - single.posterior(votes)).max() < 1e-4
+    assert np.abs(grouped.rates - single.rates).max() < 1e-4 and abs(grouped.prior - single.prior) < 1e-4

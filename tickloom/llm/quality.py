@@ -1,13 +1,19 @@
 """Document quality by co-training.
 
-Two classifiers see different sides of a document: its text (shares of kinds of letters,
-repeated words and lines, lengths of words and lines) and its metadata (language, source,
-declared length). Both begin with labelled documents. In each round, every classifier
+Two classifiers see different sides of a document: its text (which words and pairs of words
+it has, shares of kinds of letters, repeated words and lines, lengths of words and lines)
+and its metadata (language, source, declared length). Both begin with labelled documents. In each round, every classifier
 labels the documents of which it is sure, and the other one learns from those too. In the
 end each is calibrated on labelled documents that none has learnt from, and the calibrated
 log-odds of both, less the log-odds of a good document that both contain, score every
 document.
 
+Words and pairs of words are hashed to ``2**CONTENT_BITS`` slots each. In how many good and
+bad labelled documents a slot occurs, beside how many there are, gives its log-odds; a document's content is the mean of
+those of its words, and of its pairs. Labelled documents are counted in two halves, and the
+content of one half is judged by the counts of the other, so that no document is judged by
+its own words.
+
 Features are worked out once and written, without texts; rounds read only those. Labelled
 documents are at most ``LEARN_ROWS``, by a hash of the id; sure documents are all there are.
 
@@ -23,7 +29,8 @@ from __future__ import annotations
 import math
 import operator
 import re
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +40,13 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from tickloom.llm.frames import whole
 from tickloom.llm.learning import Logistic, fit_logistic, fold_of, label_sample, logistic
+from tickloom.llm.shingles import MOST_TEXTS, shingles_of, words_of
+from tickloom.llm.workers import begin, hand_back, handed_back, stretches
 from tickloom.workspace import settle
 
 LEARN_ROWS = 60_000
+CONTENT_BITS = 16
+LEAST_DEVIATION = 4.0
 ROUNDS = 2
 # A classifier is sure of a document beyond this probability, on either side.
 SURE = 0.98
@@ -78,9 +89,97 @@ def text_features(text: str) -> list[float]:
     return [math.sqrt(max(0.0, x)) for x in shares] + [math.log1p(x) for x in sizes]
 
 
-@F.arrow_udf(ArrayType(DoubleType()))
-def _text_features(texts: pa.Array) -> pa.Array:
-    return pa.array([text_features(x or "") for x in texts.to_pylist()], pa.list_(pa.float64()))
+def content_slots(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different words, or runs of ``size`` words, of some texts: whose, and which slot."""
+    found = shingles_of([words_of(x) for x in texts], size)
+    return found.owner, (found.value & np.uint64((1 << CONTENT_BITS) - 1)).astype(np.int64)
+
+
+#: Words, and pairs of words.
+CONTENT_SIZES = (1, 2)
+# Judged by the counts of both halves.
+BOTH = 2
+
+
+@dataclass(frozen=True)
+class Content:
+    """Log-odds of a good document by slot: one row for each half that is judged, by the
+    other's counts, and their mean for all others; one column of slots after the other."""
+
+    odds: np.ndarray = field(default_factory=lambda: np.zeros((3, len(CONTENT_SIZES) << CONTENT_BITS), np.float32))
+
+    @classmethod
+    def of(cls, counts: np.ndarray, documents: np.ndarray) -> Content:
+        """From documents with each slot, and documents, by half and label.
+
+        As if one document more had each slot, of average kind. Slots whose share of good
+        documents may be chance, being less than ``LEAST_DEVIATION`` standard deviations
+        from the average, tell nothing."""
+        odds = []
+        for half in (1, 0):
+            share = (documents[half] + 1) / (documents[half] + 1).sum()
+            bad, good = counts[half]
+            found = np.log((good + share[1]) / (bad + share[0])) - np.log(share[1] / share[0])
+            beyond = np.abs(good - (good + bad) * share[1]) >= LEAST_DEVIATION * np.sqrt((good + bad) * share[0] * share[1])
+            odds.append(np.where(beyond & (good + bad > 0), found, 0.0))
+        # Others are judged by both alike, on the scale that was learnt.
+        return cls(np.array([*odds, (odds[0] + odds[1]) / 2], np.float32))
+
+    def features(self, texts: list[str], halves: np.ndarray) -> np.ndarray:
+        """The mean log-odds of the words and of the pairs of each text, 0 without any."""
+        columns = []
+        for i, size in enumerate(CONTENT_SIZES):
+            owner, slot = content_slots(texts, size)
+            weight = self.odds[halves[owner], (i << CONTENT_BITS) + slot]
+            total, n = np.bincount(owner, weight, len(texts)), np.bincount(owner, minlength=len(texts))
+            columns.append(total / np.maximum(1, n))
+        return np.stack(columns, axis=1)
+
+
+def learn_content(labelled: DataFrame) -> Content:
+    """From ``text``, ``label`` and ``half`` of the labelled documents. The driver gets at
+    most one row for each slot, half and label."""
+    width = len(CONTENT_SIZES) << CONTENT_BITS
+
+    @handed_back
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
+        # One slot more, for the documents themselves.
+        total = np.zeros((4, width + 1), np.int64)
+        for batch in batches:
+            kinds = batch.column(2).to_numpy() * 2 + (batch.column(1).to_numpy() > 0)
+            for at, texts in stretches(batch.column(0), most=MOST_TEXTS):
+                kind = kinds[at : at + len(texts)]
+                total[:, width] += np.bincount(kind, minlength=4)
+                for i, size in enumerate(CONTENT_SIZES):
+                    owner, slot = content_slots(texts, size)
+                    np.add.at(total, (kind[owner], (i << CONTENT_BITS) + slot), 1)
+        kind, slot = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, slot, total[kind, slot])], ["kind", "slot", "n"])
+
+    parts = labelled.select("text", "label", "half").mapInArrow(count, "kind bigint, slot bigint, n bigint")
+    sums = parts.groupBy("kind", "slot").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros((4, width + 1))
+    total[sums["kind"], sums["slot"]] = sums["n"]
+    total = total.reshape(2, 2, width + 1)
+    return Content.of(total[:, :, :width], total[:, :, width]) if len(sums) else Content()
+
+
+def _text_view(content: Content, text: Column, half: Column) -> Column:
+    """Features of a text: its surface and its content."""
+
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def view(texts: pa.Array, halves: pa.Array) -> pa.Array:
+        begin("quality")
+        parts, of = [], halves.to_numpy(zero_copy_only=False)
+        for at, some in stretches(texts, most=MOST_TEXTS):
+            own = content.features(some, of[at : at + len(some)])
+            both = [[*text_features(x), *c] for x, c in zip(some, own.tolist())]
+            parts.append(pa.array(both, pa.list_(pa.float64())))
+        hand_back()
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float64()))
+
+    return view(text, half)
 
 
 def metadata_features(df: DataFrame) -> Column:
@@ -116,6 +215,7 @@ class QualityModel:
     text: Calibrated | None = None
     metadata: Calibrated | None = None
     prior: float = 0.0
+    content: Content = field(default_factory=Content)
 
     def score(self, text: Column, metadata: Column) -> Column:
         if self.text is None:
@@ -149,10 +249,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     """Co-train on all documents, beginning with the labelled ones."""
     # Bounded by learn_rows, so it may be broadcast.
     sample = F.broadcast(label_sample(labels, key, label, learn_rows))
-    rows = docs.select(F.col(key).alias("id"), _text_features(F.col(text)).alias("text_x"), metadata_features(docs).alias("meta_x"))
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), metadata_features(docs).alias("meta_x"))
     rows = rows.join(sample.select(F.col("key").alias("id"), "label"), "id", "left")
     apart = F.pmod(F.xxhash64(F.lit("calibrate"), F.col("id")), F.lit(CALIBRATE)) == 0
-    rows = settle(rows.select("text_x", "meta_x", "label", (F.col("label").isNotNull() & apart).alias("held")), "quality")
+    rows = rows.withColumn("held", F.col("label").isNotNull() & apart)
+    taught = F.col("label").isNotNull() & ~F.col("held")
+    half = F.pmod(F.xxhash64(F.lit("content"), F.col("id")), F.lit(2)).cast("int")
+    content = learn_content(rows.filter(taught).select("text", "label", half.alias("half")))
+    own = F.when(taught, half).otherwise(BOTH)
+    seen = _text_view(content, F.col("text"), own).alias("text_x")
+    rows = settle(rows.select(seen, "meta_x", "label", "held"), "quality")
     teach, held = rows.filter("label IS NOT NULL AND NOT held"), rows.filter("held")
 
     def fit(view: str, more: DataFrame | None = None, start: Logistic | None = None) -> Logistic | None:
@@ -167,11 +273,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
         by_text, by_metadata = fit("text_x", for_text, by_text), fit("meta_x", for_metadata, by_metadata)
     good, n = held.agg(F.sum("label"), F.count("label")).first()
     if not n or not 0 < good < n:  # too few to calibrate
-        return QualityModel(Calibrated(by_text))
+        return QualityModel(Calibrated(by_text), content=content)
     prior = math.log(good / (n - good))
-    return QualityModel(_calibrated(held, by_text, "text_x", prior), _calibrated(held, by_metadata, "meta_x", prior), prior)
+    calibrated = (_calibrated(held, x, view, prior) for x, view in ((by_text, "text_x"), (by_metadata, "meta_x")))
+    return QualityModel(*calibrated, prior, content)
 
 
 def score_quality(df: DataFrame, model: QualityModel, text: str = "text", result: str = "quality_score") -> DataFrame:
     """Add the probability that a document is good."""
-    return df.withColumn(result, model.score(_text_features(F.col(text)), metadata_features(df)))
+    if model.text is None:
+        return df.withColumn(result, F.lit(1.0))
+    seen = _text_view(model.content, F.col(text), F.lit(BOTH))
+    return df.withColumn(result, model.score(seen, metadata_features(df)))
