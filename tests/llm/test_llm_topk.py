@@ -58,3 +58,13 @@ def test_large_components_are_exact(spark):
 
 def test_no_vectors(spark):
     assert best_by_product(spark.createDataFrame([], SCHEMA), every_nth()).collect() == []
+
+
+def test_products_beyond_64_bits_are_refused(spark):
+    rows = [(0, [1e18, 1.0]), (1, [1e18, 2.0]), (2, [1.0, 1.0])]
+    huge = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        best_by_product(huge, every_nth()).collect()
+    large = spark.createDataFrame([(0, [3e6, 1.0]), (1, [3e6, 2.0]), (2, [1.0, 1.0])], huge.schema)
+    found = best_by_product(large, every_nth(), top=2).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(1, (3 * 256 * 10**6) ** 2 + 2 * 256**2), (2, 3 * 256**2 * 10**6 + 256**2)]

@@ -7,8 +7,8 @@ beat the k-th score so far. The k-th scores found in the first shards are handed
 others, which start with them. Answers of all shards meet in one ranking per query, of
 k rows from each shard.
 
-Numbers are whole: components are scaled and rounded down, products are exact as long as
-they fit 64 bits.
+Numbers are whole: components are scaled and rounded down, and products are exact. Where
+components are so large that a product might not fit 64 bits, the query fails and says so.
 
 Cases: vectors that are null, empty or hold null, NaN or infinite components take no part,
 nor do rows without an id. Vectors of different length have no product. Equal scores go by
@@ -129,7 +129,9 @@ def _searched(top: int):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         points = np.array(candidates["v"].tolist(), np.int64)
         asked = np.array(queries["v"].tolist(), np.int64)
-        largest = int(np.abs(points).max()) * int(np.abs(asked).max()) * points.shape[1]
+        largest = points.shape[1] * math.prod(max(-int(x.min()), int(x.max())) for x in (points, asked))
+        if largest >= 2**63:
+            raise ValueError("inner products of these vectors may not fit 64 bits")
         if largest < 2**52:  # doubles are exact, and much faster
             points, asked = points.astype(float), asked.astype(float)
         tree = BallTree(points, candidates["id"].to_numpy(np.int64))
