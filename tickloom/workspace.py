@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder of this machine.
+    Only a local session without that setting falls back to a folder of this machine, the
+    same for all it writes.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tickloom-")
+    return f"{tempfile.gettempdir()}/tickloom-{spark.conf.get('spark.app.id', 'session')}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
