@@ -94,3 +94,12 @@ def test_files_are_warc(spark, tmp_path):
 def test_no_pages(spark):
     empty = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert archived_pages(empty).collect() == []
+
+
+def test_clashing_columns_do_not_matter(spark):
+    extra = ", record string, kind int, page string, digest int, first string, content binary, payload_bytes string"
+    rows = [(*row, "x", 1, "y", 2, "z", bytearray(b"w"), "v") for row in PAGES]
+    wide = spark.createDataFrame(rows, "page_id bigint, url string, html string" + extra)
+    narrow = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
+    found, expected = (sorted(map(repr, archived_pages(df).collect())) for df in (wide, narrow))
+    assert found == expected

@@ -72,3 +72,13 @@ def test_empty_tables(spark):
     assert find_passages(no_documents(spark), bench).collect() == []
     none = find_passages(documents(spark), bench.limit(0)).collect()
     assert len(none) == len(texts()) + 4 and all(r.contamination.n_hit == 0 for r in none)
+
+
+def test_a_very_long_item(spark):
+    """Every window of an item of 30,000 words, and the few of it that a document has."""
+    words = [f"w{i}" for i in range(30_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[100:115])), (3, " ".join(words[200:209])), (4, " ".join(words[::2]))]
+    items = spark.createDataFrame([("long", " ".join(words))], "item_id string, text string")
+    found = find_passages(spark.createDataFrame(docs, "doc_id bigint, text string"), items, result="found")
+    rows = {r.doc_id: (r.found.n_words, r.found.n_hit, list(r.found["items"])) for r in found.collect()}
+    assert rows == {1: (30_000, 30_000, ["long"]), 2: (15, 15, ["long"]), 3: (9, 0, []), 4: (15_000, 0, [])}
