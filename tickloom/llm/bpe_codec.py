@@ -55,6 +55,15 @@ def newer_letters() -> tuple[re.Pattern, Sequence]:
     return re.compile(f"[{unknown_to_python()}]"), Sequence([NFC(), Lowercase()])
 
 
+def in_latin_1(text: str) -> bool:
+    """Whether a text has letters of Latin-1 alone, which all tables know."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def gather(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of ``values`` at ``begins``, one after another."""
     before = np.cumsum(sizes) - sizes
@@ -112,9 +121,10 @@ class WordCodec:
 
     @staticmethod
     def _plain_pieces(text: str) -> list[str]:
-        newer, library = newer_letters()
-        if not text.isascii() and newer.search(text):
-            text = library.normalize_str(text)
+        if not in_latin_1(text):
+            newer, library = newer_letters()
+            if newer.search(text):
+                text = library.normalize_str(text)
         # Lower case letter by letter: no final form of sigma.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return SPACED.findall(text) if NOT_SPACE.search(text) else text.split()
