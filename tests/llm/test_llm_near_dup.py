@@ -1,5 +1,6 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
+from math import log
 
 import numpy as np
 import pytest
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import near_dup
 from tickloom.llm.components import components
-from tickloom.llm.near_dup import keep_one_of_each, near_duplicate_classes, registers
-from tickloom.llm.set_links import links_across, mixed_buckets, probability_jaccard
+from tickloom.llm.near_dup import band_keys, bands_of, enough_bands, keep_one_of_each, near_duplicate_classes, once, registers
+from tickloom.llm.set_links import links_across, mixed_buckets, prefix_groups, probability_jaccard, set_bytes, shingle_weights
 from tickloom.llm.shingles import Shingles, shingles_of, words_of
 
 
@@ -172,3 +173,93 @@ def test_texts_that_mostly_repeat_the_same_are_alike(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {r.doc_id: r.class_id for r in near_duplicate_classes(docs).collect()}
     assert found == {0: 0, 1: 0, 2: 0, 3: 0, 9: 9}
+
+
+def weighted_likeness(a, b, size=5):
+    """Probability Jaccard similarity of the shingles of two texts, by its definition."""
+    x, y = (Counter(tuple(w[i : i + size]) for i in range(len(w) - size + 1)) for w in (words_of(t).split() for t in (a, b)))
+    x, y = ({s: 1 + log(n) for s, n in c.items()} for c in (x, y))
+    every = x.keys() | y.keys()
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in every) for i in x.keys() & y.keys())
+
+
+def chains(n=12, count=2):
+    """Texts that repeat a line; by their weights, each is like the one before and the one
+    after it alone, and by their sets like none."""
+    rows = []
+    for c in range(count):
+        line, parts = prose(8000 + c, 60), [prose(8100 + 100 * c + i, 30) for i in range(n + 1)]
+        rows += [(c * n + i, "\n".join([*[line] * 50, parts[i], parts[i + 1]])) for i in range(n)]
+    return rows
+
+
+def test_chains_are_alike_by_weights_alone():
+    rows = chains(4, 1)
+    assert len(set(plain_classes(rows))) == 4
+    for i, a in rows:
+        for j, b in rows[:i]:
+            assert (weighted_likeness(a, b) >= 0.8) == (i - j == 1)
+
+
+@pytest.mark.parametrize("large", [near_dup.LARGE, 4])
+def test_leftover_buckets_are_compared_by_weights_as_well(spark, monkeypatch, large):
+    monkeypatch.setattr(near_dup, "LARGE", large)
+    docs = spark.createDataFrame(chains(), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in near_duplicate_classes(docs).collect()}
+    assert got == {i: i - i % 12 for i in range(24)}
+    assert sorted(r.doc_id for r in keep_one_of_each(docs).collect()) == [0, 12]
+
+
+def test_blocks_and_rare_shingles_by_weights(spark):
+    """Chains, and texts that repeat nothing, some of them alike."""
+    base = prose(8900, 100)
+    rows = chains() + [(100 + i, edited(base, i % 4, i)) for i in range(8)]
+    expected = {i: i - i % 12 for i in range(24)}
+    expected |= dict(zip((i for i, _ in rows[24:]), plain_classes(rows[24:])))
+    found = shingles_of([words_of(t) for _, t in rows], 5)
+    sets, weights = set_bytes(found, len(rows)), shingle_weights(found, len(rows))
+    given = [(i, i, bytearray(s), bytearray(w)) for (i, _), s, w in zip(rows, sets, weights)]
+    frame = spark.createDataFrame(given, "node bigint, root bigint, shingles binary, weights binary")
+    whole = frame.withColumns({"bucket": F.lit(7), "n": F.lit(len(rows))})
+    rare = prefix_groups(frame, 0.8).join(frame.drop("root"), "node")
+    for members, block in ((whole, 1000), (whole, 16), (rare, 1000)):
+        links = links_across(members, 0.8, block)
+        roots = {r.node: r.root for r in components(links, "a", "b").collect()}
+        assert {i: roots.get(i, i) for i, _ in rows} == expected
+
+
+def test_texts_just_alike_by_weights_share_a_band(spark):
+    """Sixty pairs of 0.8 to 0.83; with six bands, one of eleven such pairs shared none."""
+    rows = []
+    for i in range(60):
+        line = prose(9000 + i, 30)
+        rows += [(2 * i + k, "\n".join([*[line] * 40, prose(9100 + 2 * i + k, 16)])) for k in (0, 1)]
+    assert len(set(plain_classes(rows))) == 120
+    assert all(0.8 <= weighted_likeness(rows[i][1], rows[i + 1][1]) < 0.83 for i in range(0, 120, 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in near_duplicate_classes(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(120)}
+
+
+def test_bands_are_enough_for_the_similarity_asked_for(spark):
+    """With 25 bands, two of five pairs that are half alike shared none."""
+    assert [(1 - t**5) ** enough_bands(t) <= 1e-9 for t in (0.3, 0.5, 0.8, 0.95, 1)] == [True] * 5
+    rows = []
+    for i in range(30):
+        common = prose(9500 + i, 60)
+        rows += [(2 * i + k, f"{common} {prose(9600 + 2 * i + k, 27)}") for k in (0, 1)]
+    expected = plain_classes(rows, 0.5)
+    assert expected == [i - i % 2 for i, _ in rows] and len(set(plain_classes(rows, 0.55))) == 60
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in near_duplicate_classes(docs, similarity=0.5).collect()}
+    assert got == dict(zip((i for i, _ in rows), expected))
+
+
+def test_bands_of_sets_and_of_weights():
+    words = [words_of(t) for t in (prose(1), f"{prose(1)} {prose(2)} {prose(2)} {prose(2)}", "", "a b a b a b a b", prose(3))]
+    found = shingles_of(words, 5)
+    got = bands_of(found, 5, 12, 5).to_pylist()
+    plain = band_keys(registers(once(found), 5, 60), 12, 5)
+    heavy = band_keys(registers(found, 5, 60), 12, 5)
+    assert all(set(got[i]) == {*plain[i].tolist(), *heavy[i].tolist()} and len(set(got[i])) == len(got[i]) for i in range(5))
+    assert len(got[0]) == len(got[4]) == 12 < len(got[1])

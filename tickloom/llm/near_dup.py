@@ -7,9 +7,12 @@ shingles. A shingle's process ends as soon as its next arrival is later than all
 For the bands every distinct shingle has the same weight, so that the registers estimate
 the similarity that decides: the Jaccard similarity of the sets, at least ``SIMILARITY``.
 However often a line is repeated in one of two texts, that does not keep them apart.
-Further bands are of the weighted shingles, 1 + ln(count) each: two texts that mostly repeat
+Texts in which a shingle occurs more than once have as many bands of the weighted shingles,
+1 + ln(count) each (all others have the same bands either way): two texts that mostly repeat
 the same are alike as well, if the probability Jaccard similarity is at least as high.
-Registers are banded; documents that share a band are compared by their whole shingle sets.
+Registers are banded, in as many bands as it takes that two texts just similar enough share
+none of them with a probability of ``MISSED`` at most, by either similarity. Documents that
+share a band are compared by their whole shingle sets and weights.
 
 Equal texts (by their words) are one text from the start, however many copies there are.
 Texts of a bucket do not meet pair by pair: each is compared with one centre, then with
@@ -17,7 +20,8 @@ the centres of its other buckets where they are not connected yet. In buckets th
 hold several components, texts of different components are compared by counting common
 shingles, block by block; where such a bucket has more than ``LARGE`` texts, they meet by
 their rarest shingles instead, of which two texts as alike as that must share one, however
-much the bucket has in common. Either way no pair is left out. Links come out of that, not pairs.
+much the bucket has in common. Either similarity decides, as it does with the centres, so
+that no pair is left out. Links come out of that, not pairs.
 Since classes are connected components, links inside a component change nothing; none
 between components is left out.
 Hot buckets and centres are joined with written tables, which Spark can split.
@@ -32,6 +36,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import replace
 
@@ -50,13 +55,23 @@ from tickloom.workspace import settle
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 25
-WEIGHTED_BANDS = 6
 ROWS = 5
+# How likely two texts that are just similar enough may share no band: as rare as that their
+# shingles' hashes clash.
+MISSED = 1e-9
 # A text of a bucket of n meets n / 512 blocks, or some 32 groups by its rare shingles.
 LARGE = 32 * BLOCK
 
 
+def enough_bands(similarity: float, rows: int = ROWS) -> int:
+    """Bands by which texts as similar as that miss each other at most as often as ``MISSED``."""
+    if similarity <= 0:
+        raise ValueError("similarity must be positive: texts that share nothing meet in no band")
+    if similarity**rows >= 1:
+        return 1
+    return max(1, math.ceil(math.log(MISSED) / math.log1p(-(similarity**rows))))
+
+
 def registers(shingles: Shingles, texts: int, size: int) -> np.ndarray:
     """ProbMinHash: the shingle that each register of each text keeps (0: no shingle).
 
@@ -98,6 +113,23 @@ def band_keys(kept: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bands_of(found: Shingles, texts: int, bands: int, rows: int) -> pa.ListArray:
+    """The bands of each text: those of its set and, where they differ, of its weights."""
+    plain = band_keys(registers(once(found), texts, bands * rows), bands, rows)
+    keys, own = np.concatenate([plain, plain], axis=1), np.zeros((texts, 2 * bands), bool)
+    own[:, :bands] = True
+    # Where nothing is repeated, all weights are 1 and the registers are the same.
+    repeated = np.unique(found.owner[found.count > 1])
+    if len(repeated):
+        of = np.isin(found.owner, repeated)
+        part = Shingles(np.searchsorted(repeated, found.owner[of]), found.value[of], found.count[of])
+        heavy = band_keys(registers(part, len(repeated), bands * rows), bands, rows)
+        keys[repeated, bands:] = heavy
+        own[repeated, bands:] = heavy != plain[repeated]
+    offsets = np.concatenate([[0], np.cumsum(own.sum(axis=1))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[own], pa.int64()))
+
+
 def _groups(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
     """Words of the texts of a batch, some at a time, and the row of the first."""
     for at, texts in stretches(batch.column(column), most=MOST_TEXTS):
@@ -115,11 +147,7 @@ def _signed(shingle: int, bands: int, rows: int):
         for batch in batches:
             for at, words in _groups(batch, 1):
                 found = shingles_of(words, shingle)
-                plain = band_keys(registers(once(found), len(words), bands * rows), bands, rows)
-                heavy = registers(found, len(words), WEIGHTED_BANDS * rows)
-                keys = np.concatenate([plain, ~band_keys(heavy, WEIGHTED_BANDS, rows)], axis=1)
-                offsets = pa.array(np.arange(0, keys.size + 1, keys.shape[1]), pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64()))
+                lists = bands_of(found, len(words), bands, rows)
                 columns = [batch.column(0).slice(at, len(words)), pa.array(map(_key, words), pa.binary()), lists]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "key", "bands"])
 
@@ -146,24 +174,27 @@ def near_duplicate_classes(
     text: str = "text",
     shingle: int = SHINGLE,
     similarity: float = SIMILARITY,
-    bands: int = BANDS,
+    bands: int | None = None,
     rows: int = ROWS,
 ) -> DataFrame:
     """``key`` and ``class_id`` of each row, and whether it is the row that ``is_kept``.
 
-    Of the rows of a class, one is kept: one of those with the smallest id.
+    Of the rows of a class, one is kept: one of those with the smallest id. Without a number
+    of ``bands``, there are ``enough_bands``.
     """
-    signed = _signature_rows(docs.select(key, text), key, text, shingle, bands, rows)
+    signed = _signature_rows(docs.select(key, text), key, text, shingle, similarity, bands, rows)
     texts = _distinct_texts(signed)
     roots = _classes(docs.select(text), texts, text, shingle, similarity)
     return _named(signed, texts, roots).select(F.col("id").alias(key), "class_id", "is_kept")
 
 
-def _signature_rows(docs: DataFrame, key: str, text: str, shingle: int, bands: int, rows: int) -> DataFrame:
+def _signature_rows(
+    docs: DataFrame, key: str, text: str, shingle: int, similarity: float, bands: int | None, rows: int
+) -> DataFrame:
     """``row`` (a number), ``id``, ``key`` of the words and ``bands`` of each document."""
     kind = docs.schema[key].dataType.simpleString()
     given = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sign = _signed(shingle, bands, rows)
+    sign = _signed(shingle, enough_bands(similarity, rows) if bands is None else bands, rows)
     signed = given.mapInArrow(sign, f"id {kind}, key binary, bands array<bigint>")
     return settle(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
@@ -212,11 +243,10 @@ def _classes(docs: DataFrame, texts: DataFrame, text: str, shingle: int, similar
     # of very large ones by rare shingles.
     placed = settle(_rooted(members.select("bucket", "node"), "node", roots), "placed")
     mixed_up = settle(mixed_buckets(placed), "mixed")
-    plain_sets = sets.drop("weights")
-    small = placed.join(mixed_up.filter(F.col("n") <= LARGE), "bucket").join(plain_sets, "node")
+    small = placed.join(mixed_up.filter(F.col("n") <= LARGE), "bucket").join(sets, "node")
     large = placed.join(mixed_up.filter(F.col("n") > LARGE), "bucket", "left_semi").select("node", "root").distinct()
-    open_sets = settle(large.join(plain_sets, "node"), "open")
-    again = prefix_groups(open_sets, similarity).join(plain_sets, "node")
+    open_sets = settle(large.join(sets, "node"), "open")
+    again = prefix_groups(open_sets, similarity).join(sets, "node")
     links = links.unionByName(settle(links_across(small, similarity), "links"))
     links = links.unionByName(settle(links_across(again, similarity), "links"))
     return settle(components(links, "a", "b"), "roots")
@@ -253,7 +283,7 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     without words are all kept, as each is a class of its own. The documents themselves are
     exchanged once; only rows that share id and words with another one are looked at again.
     """
-    signed = _signature_rows(docs.select(key, text), key, text, **settings_of(settings, "shingle", "bands", "rows"))
+    signed = _signature_rows(docs.select(key, text), key, text, **settings_of(settings, "shingle", "similarity", "bands", "rows"))
     texts = _distinct_texts(signed)
     roots = _classes(docs.select(text), texts, text, **settings_of(settings, "shingle", "similarity"))
     named = _named(signed, texts, roots).select("row", "is_kept")
@@ -271,7 +301,7 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     return alone.unionByName(once).select(*docs.columns)
 
 
-DEFAULTS = {"shingle": SHINGLE, "similarity": SIMILARITY, "bands": BANDS, "rows": ROWS}
+DEFAULTS = {"shingle": SHINGLE, "similarity": SIMILARITY, "bands": None, "rows": ROWS}
 
 
 def settings_of(given: dict, *names: str) -> dict:

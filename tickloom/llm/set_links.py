@@ -89,33 +89,53 @@ def likeness(left: pa.Array, left_weights: pa.Array, right: pa.Array, right_weig
     return pa.array(found, pa.float64())
 
 
+def _weights(given: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Weights of the shingles of all sets, one set after the other: 1 where there are none."""
+    found = [np.frombuffer(w, np.float32) if w else np.ones(n, np.float32) for w, n in zip(given, sizes.tolist())]
+    return np.concatenate([np.zeros(0), *found])
+
+
+def _with_weights(sets: DataFrame) -> DataFrame:
+    return sets if "weights" in sets.columns else sets.withColumn("weights", F.lit(None).cast("binary"))
+
+
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin in range(0, batch.num_rows, 256):
             part = batch.slice(begin, 256)
             sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in part.column(2)]
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+            weights = _weights(part.column(3).to_pylist(), sizes)
+            total = np.bincount(np.repeat(np.arange(len(sets)), sizes), weights, len(sets))
             spread = lambda column, sizes=sizes: pa.array(np.repeat(column.to_numpy(), sizes), pa.int64())
             flat = np.concatenate(sets).astype(np.int64)
             columns = [spread(part.column(0)), spread(part.column(1)), pa.array(np.repeat(sizes, sizes)), pa.array(flat)]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "root", "size", "shingle"])
+            columns += [pa.array(weights), pa.array(np.repeat(total, sizes))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "root", "size", "shingle", "weight", "total"])
 
 
 def prefix_groups(sets: DataFrame, similarity: float) -> DataFrame:
     """``bucket``, ``n``, ``node``, ``root``: texts that may be alike meet in a bucket.
 
-    ``sets`` has ``node``, ``root`` and ``shingles``. Let all shingles be sorted from the
-    rarest to the most frequent. Of two sets with a Jaccard similarity of t or more, the
-    first ``size - ceil(t * size) + 1`` shingles of both share one; so texts meet by those
-    alone, and what many texts have in common brings none together as long as they have
-    rarer shingles. Buckets whose texts have one root are left out.
+    ``sets`` has ``node``, ``root``, ``shingles`` and perhaps ``weights``. Let all shingles be
+    sorted from the rarest to the most frequent. Of two sets with a Jaccard similarity of t
+    or more, the first ``size - ceil(t * size) + 1`` shingles of both share one; so texts meet
+    by those alone, and what many texts have in common brings none together as long as they
+    have rarer shingles. Of two texts with a probability Jaccard similarity of t or more, the
+    common shingles have at least the share t of the weight of either text. So those shingles
+    share one that have, with all more frequent ones, at least that share; texts with weights
+    meet by those as well. Buckets whose texts have one root are left out.
     """
-    flat = sets.select("node", "root", "shingles").mapInArrow(_elements, "node bigint, root bigint, size bigint, shingle bigint")
-    flat = settle(flat, "shingles")
+    given = _with_weights(sets).select("node", "root", "shingles", "weights")
+    kinds = "node bigint, root bigint, size bigint, shingle bigint, weight double, total double"
+    flat = settle(given.mapInArrow(_elements, kinds), "shingles")
     often = settle(flat.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "often")
-    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
+    sorted_ = Window.partitionBy("node").orderBy("often", "shingle")
+    before = F.sum("weight").over(sorted_.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("weight")
     needed = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - 1e-9) + 1
-    first = flat.join(often, "shingle").withColumn("place", place).filter(F.col("place") <= needed)
+    first = flat.join(often, "shingle").withColumn("place", F.row_number().over(sorted_)).withColumn("before", before)
+    heavy = F.col("total") - F.col("before") >= F.col("total") * (F.lit(similarity) - 1e-6)
+    first = first.filter((F.col("place") <= needed) | heavy)
     # A shingle of one text alone brings none together.
     first = first.filter("often > 1")
     first = settle(first.select(F.col("shingle").alias("bucket"), "node", "root"), "prefixes")
@@ -136,13 +156,14 @@ def links_across(members: DataFrame, similarity: float, block: int = BLOCK) -> D
     """Links ``a, b`` between components (``root``) of a bucket of ``n`` texts.
 
     A bucket is cut into blocks; a task compares two of them at a time, by the places where
-    each shingle occurs, and gives back links that connect what was apart, not pairs.
+    each shingle occurs, and gives back links that connect what was apart, not pairs. With
+    ``weights``, texts are compared as by ``likeness``.
     """
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = _with_weights(members).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select(
-        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root", "shingles"
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root", "shingles", "weights"
     )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
@@ -157,25 +178,49 @@ def links_across(members: DataFrame, similarity: float, block: int = BLOCK) -> D
         nodes, side = part["node"].to_numpy(), part["own"].to_numpy()
         _, group = np.unique(part["root"].to_numpy(), return_inverse=True)
         largest = np.bincount(group).argmax()
+        repeats = np.fromiter(map(bool, part["weights"]), bool, len(sets))
+        if repeats.any():
+            weights = _weights(part["weights"].tolist(), sizes)
+            totals, at = np.bincount(owner, weights, len(sets)), np.cumsum(sizes) - sizes
+            own = [weights[a : a + n] for a, n in zip(at.tolist(), sizes.tolist())]
+            weights = weights[order]
         found = []
         # Pairs inside the largest component need no look; every other pair has a text
         # outside of it.
         for i in np.flatnonzero(group != largest).tolist():
             first, past = np.searchsorted(ordered, sets[i]), np.searchsorted(ordered, sets[i], side="right")
-            common = np.bincount(places[_stretches(first, past)], minlength=len(sets))
-            alike = common >= similarity * (sizes + sizes[i] - common)
-            alike &= group != group[i]
+            there = _stretches(first, past)
+            common = np.bincount(places[there], minlength=len(sets))
+            alike = common / (sizes + sizes[i] - common) >= similarity
+            apart = group != group[i]
             if both:
-                alike &= side != side[i]
-            for j in np.flatnonzero(alike).tolist():
-                if group[j] != group[i]:
-                    found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
-                    group[group == group[j]] = group[i]
+                apart &= side != side[i]
+            perhaps = apart & ~alike & (common > 0) & (repeats | repeats[i])
+            if perhaps.any():
+                most = _most_likely(np.repeat(own[i], past - first), weights[there], places[there], totals[i], totals)
+                perhaps &= most >= similarity - 1e-6
+            for j in np.flatnonzero(apart & (alike | perhaps)).tolist():
+                if group[j] == group[i] or not (alike[j] or probability_jaccard(sets[i], own[i], sets[j], own[j]) >= similarity):
+                    continue
+                found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+                group[group == group[j]] = group[i]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("bucket", "low", "high").applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
+def _most_likely(x: np.ndarray, y: np.ndarray, whose: np.ndarray, total: float, totals: np.ndarray) -> np.ndarray:
+    """At least the probability Jaccard similarity of one text and each of several.
+
+    ``x`` and ``y`` are both texts' weights of a common shingle, ``whose`` is the other text.
+    """
+    only_x = total - np.bincount(whose, x, len(totals))
+    only_y = totals - np.bincount(whose, y, len(totals))
+    # Of the common shingles, all count by the one text or all by the other.
+    parts = np.minimum(1 / (total / x + only_y[whose] / y), 1 / (only_x[whose] / x + totals[whose] / y))
+    return np.bincount(whose, parts, len(totals))
+
+
 def _stretches(first: np.ndarray, past: np.ndarray) -> np.ndarray:
     """All numbers from each first to before each past."""
     sizes = past - first
