@@ -203,11 +203,14 @@ def test_chains_are_alike_by_weights_alone():
 
 @pytest.mark.parametrize("large", [near_dup.LARGE, 4])
 def test_leftover_buckets_are_compared_by_weights_as_well(spark, monkeypatch, large):
+    """All texts in one bucket, whose centre is like two of them at most."""
     monkeypatch.setattr(near_dup, "LARGE", large)
-    docs = spark.createDataFrame(chains(), "doc_id bigint, text string").repartition(4)
-    got = {r.doc_id: r.class_id for r in near_duplicate_classes(docs).collect()}
-    assert got == {i: i - i % 12 for i in range(24)}
-    assert sorted(r.doc_id for r in keep_one_of_each(docs).collect()) == [0, 12]
+    rows = chains()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    given = [(i, bytearray(near_dup._key(words_of(t))), [7]) for i, t in rows]
+    bucket = spark.createDataFrame(given, "node bigint, key binary, bands array<bigint>")
+    roots = near_dup._classes(docs, bucket, "text", 5, 0.8)
+    assert {r.node: r.root for r in roots.collect()} == {i: i - i % 12 for i in range(24)}
 
 
 def test_blocks_and_rare_shingles_by_weights(spark):
